@@ -63,7 +63,7 @@ def fingerprint(text: bytes, k: int = 3) -> int:
     s = shingle_slices(text, k)
     if not s:
         return 0
-    h = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in s), np.uint64, len(s))
+    h = np.frombuffer(b"".join([xxhash.xxh64_digest(x, 42) for x in s]), ">u8").astype(np.uint64)
     return int.from_bytes(np.packbits(bit_counts(h) * 2 > len(s), bitorder="little").tobytes(), "little")
 
 
@@ -132,12 +132,12 @@ def linked(fps: DataFrame, bits: int = NEAR_BITS) -> DataFrame:
 def shingle_set(text: bytes, k: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
     s = shingle_slices(text, k)
-    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(x) for x in s), np.uint64, len(s)))
+    return np.unique(np.frombuffer(b"".join([xxhash.xxh3_64_digest(x) for x in s]), ">u8").astype(np.uint64))
 
 
 def wide_margins(text: bytes, segments: int = SEGMENTS, k: int = SHINGLE) -> np.ndarray:
     """For each of the bits, in -1..1, how clearly the distinct shingles want it set."""
-    s = sorted(set(shingle_slices(text, k)))
+    s = list(set(shingle_slices(text, k)))
     blocks = -(-segments * 23 // 128)
     raw = b"".join(xxhash.xxh3_128_digest(x, seed) for x in s for seed in range(blocks))
     counts = bit_counts(np.frombuffer(raw, np.uint64).reshape(len(s), blocks * 2))[: segments * 23]
@@ -193,7 +193,6 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
     component meets all members of other components. So a group of n mutual copies costs n pairs, not n squared, and
     no pair of a bucket that could still join two components is left out. Texts without words are grouped only if
     equal. Rows without doc_id are in no group."""
-    spark = docs.sparkSession
     base = only(docs, doc_id="long", text="string").where("doc_id IS NOT NULL")
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     members = written(base.select("doc_id", digest.alias("digest")))
