@@ -56,26 +56,53 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share_percent: i
     )
 
 
-def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_percent: int = SHARE_PERCENT, passes: int = MAX_PASSES) -> DataFrame:
-    """doc_id, source, size, h, source_size, target, epochs for each row: how often the mix takes the document.
+#: One row a source is broadcast up to this number of sources (some 10 MB); beyond it the joins shuffle.
+BROADCAST_SOURCES = 100_000
 
-    The part of a pass takes the documents with the smallest hashes of doc_id; the one at the boundary is in if that
-    comes nearer to the target (a tie: out). Rows with equal doc_id go together. Documents without words are never
-    taken. Null doc_ids share one hash, a null source is a source, an empty table gives no rows."""
+
+def _sized(docs: DataFrame) -> DataFrame:
     base = only(docs, doc_id="long", source="string", text="string")
-    rows = written(base.select("doc_id", "source", words(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("h")))
+    return written(base.select("doc_id", "source", words(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("h")))
+
+
+def cuts(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share_percent: int = SHARE_PERCENT, passes: int = MAX_PASSES) -> DataFrame:
+    """s (source), source_size, target, whole, below for rows(doc_id, source, size, h): the mix takes each document of
+    the source `whole` times, and once more if its h is less than below."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = written(
         targets(sizes, weights, share_percent, passes)
         .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"))
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     )
-    cuts = written(_thresholds(rows, plan))
-    joined = rows.join(cuts, rows["source"].eqNullSafe(cuts["s"])).drop("s")
-    return joined.select(
-        "doc_id", "source", "size", "h", "source_size", "target",
-        F.when(F.col("size") > 0, F.col("whole") + (F.col("h") < F.col("below")).cast("int")).otherwise(0).alias("epochs"),
-    )
+    out = written(_thresholds(rows, plan))
+    return F.broadcast(out) if out.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else out
+
+
+def epochs() -> F.Column:
+    """Times that the mix takes a row, over the columns size, h, whole, below."""
+    return F.when(F.col("size") > 0, F.col("whole") + (F.col("h") < F.col("below")).cast("int")).otherwise(0)
+
+
+def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_percent: int = SHARE_PERCENT, passes: int = MAX_PASSES) -> DataFrame:
+    """doc_id, source, size, h, source_size, target, epochs for each row: how often the mix takes the document.
+
+    The part of a pass takes the documents with the smallest hashes of doc_id; the one at the boundary is in if that
+    comes nearer to the target (a tie: out). Rows with equal doc_id go together. Documents without words are never
+    taken. Null doc_ids share one hash, a null source is a source, an empty table gives no rows."""
+    rows = _sized(docs)
+    plan = cuts(rows, weights, share_percent, passes)
+    joined = rows.join(plan, rows["source"].eqNullSafe(F.col("s")))
+    return joined.select("doc_id", "source", "size", "h", "source_size", "target", epochs().alias("epochs"))
+
+
+def taken(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_percent: int = SHARE_PERCENT, passes: int = MAX_PASSES) -> DataFrame:
+    """The mix itself: the rows of docs, all columns, each as often as mixed() says. Texts are not shuffled."""
+    plan = cuts(_sized(docs), weights, share_percent, passes).select("s", "whole", "below")
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("source").cast("string").alias("_source"), hash60(F.col("doc_id").cast("long")).alias("h"), words(F.col("text").cast("string")).alias("size"))
+    joined = rows.join(plan, F.col("_source").eqNullSafe(F.col("s"))).withColumn("epochs", epochs()).where("epochs > 0")
+    repeated = joined if passes == 1 else joined.select("row", F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("_n"))
+    return repeated.select(*[F.col("row").getField(c).alias(c) for c in names])
 
 
 def _thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
