@@ -1,21 +1,21 @@
-"""Shared pieces of the training-data operators: readers, tables that cut lineage, Arrow maps, connected components."""
+"""Shared pieces of the training-data operators: readers, Arrow maps, word counts."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import components
+from ..scratch import drop, written
+
+__all__ = ["arrow_map", "components", "drop", "only", "small_batches", "table", "utf8", "words", "written"]
+
 #: Rows of an Arrow batch. Documents can be long, so a batch of texts stays small.
 ARROW_ROWS = 256
 
-_scratch: dict[str, str] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,51 +28,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A folder of this application under spark.checkpoint.dir; a local one only where that is unset, as in tests."""
-    app = spark.sparkContext.applicationId
-    if app not in _scratch:
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if base is None:
-            base = "file://" + tempfile.mkdtemp(prefix="goldweave-")
-        _scratch[app] = f"{base.rstrip('/')}/goldweave-{app}"
-        atexit.register(_forget, spark, _scratch[app])
-    return _scratch[app]
-
-
-def _forget(spark: SparkSession, path: str) -> None:
-    try:
-        if spark.sparkContext._jsc is not None:
-            remove(spark, path)
-    except Exception:  # the JVM may be gone when the interpreter ends
-        pass
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
-
-
-def written(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends here, and a lost executor takes nothing with it.
-
-    replaces: an earlier result of this function that nothing needs any more; its files go."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch_path = path
-    if replaces is not None:
-        drop(replaces)
-    return out
-
-
-def drop(df: DataFrame) -> None:
-    """Delete the files of a table from written() that nothing reads any more."""
-    if path := getattr(df, "_scratch_path", None):
-        remove(df.sparkSession, path)
-
-
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]], schema: str) -> DataFrame:
     """df through fn batch by batch; fn returns a column (list, numpy or Arrow array) for each field of schema."""
     spark = df.sparkSession
@@ -110,32 +65,3 @@ def words(c) -> F.Column:
     """Number of words [^\\x20\\x09-\\x0D]+ of a text (null: 0)."""
     return F.coalesce(F.regexp_count(c, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
-
-def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
-    """(node, component) for each node of the undirected edges; component is the smallest node reachable.
-
-    Alternating large-star and small-star rounds: each is a grouped minimum and a join, rows never multiply, and the
-    number of rounds grows with the logarithm of the longest path. Each round is a written table. No edges: no rows."""
-    cur = written(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    )
-    for _ in range(max_rounds):
-        both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        # small star: u > v holds now, and each u keeps the smallest of its smaller neighbours as its only parent
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-            .select("e.u", "e.v")
-            .where("u <> v")
-            .distinct()
-        )
-        cur = written(small, replaces=cur)
-        n, heads = cur.agg(F.count("*"), F.countDistinct("u")).first()
-        if n == heads and cur.join(cur.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).union(cur.select("v", "v").distinct())
