@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import text
 from ..operators import golden, mapping, merge, normalize, quarantine, resolve, validate
-from ..schemas import TABLES
+from ..operators.upsert import upsert
+from ..schemas import KEYS, TABLES
 from ..sources import files
 from ..sources.store import Store
 from ..scratch import written
@@ -82,10 +83,8 @@ def ingest(store: Store, path: str, entity_type: str, source_name: str, source_t
         n, failed = full.agg(F.count("*"), F.count("bad")).first()
         if not columns:
             raise ValueError("the file is empty")
-        store.commit({
-            "raw_record": store.merged("raw_record", good), "record_error": store.merged("record_error", bad),
-            "batch": store.merged("batch", _row(store, "batch", status="completed", columns=columns, rows_read=n, rows_ingested=n - failed, rows_skipped=failed, finished_at=at, **facts)),
-        })
+        done = _row(store, "batch", status="completed", columns=columns, rows_read=n, rows_ingested=n - failed, rows_skipped=failed, finished_at=at, **facts)
+        store.commit({"batch": store.merged("batch", done)}, {"raw_record": good, "record_error": bad}, batch_id)
     except Exception as e:
         store.commit({"batch": store.merged("batch", _row(store, "batch", status="failed", error_message=str(e)[:2000], finished_at=at, **facts))})
         raise
@@ -107,7 +106,7 @@ def map_batch(store: Store, batch_id: str, at: datetime) -> str:
     schema_id = _id("schema", b["source_id"], vocab.column_fingerprint(b["columns"]), vocab.SCHEMA_VERSION)
     changes = {"batch": store.merged("batch", store.table("batch").where(F.col("batch_id") == batch_id).withColumn("source_schema_id", F.lit(schema_id)))}
     if store.table("source_schema").where(F.col("source_schema_id") == schema_id).isEmpty():
-        raw = store.table("raw_record").where(F.col("batch_id") == batch_id)
+        raw = store.batch("raw_record", batch_id)
         found = mapping.map_columns(b["columns"], b["entity_type"], mapping.shape_ratios(raw, b["columns"]))
         row = _row(store, "source_schema", source_schema_id=schema_id, source_id=b["source_id"], first_seen_batch_id=batch_id, entity_type=b["entity_type"], column_fingerprint=vocab.column_fingerprint(b["columns"]), columns=b["columns"], schema_version=vocab.SCHEMA_VERSION, created_at=at)
         changes |= {"source_schema": store.merged("source_schema", row, "ignore"), "column_mapping": store.merged("column_mapping", mapping.mapping_rows(store.spark, schema_id, found).withColumn("created_at", _ts(at)), "ignore")}
@@ -123,54 +122,54 @@ def _mappings(store: Store) -> DataFrame:
 def normalize_batch(store: Store, batch_id: str) -> None:
     """Observations of a batch. A rerun refreshes what derives from mappings; raw values and times are the same."""
     _batch(store, batch_id)
-    raw = store.table("raw_record").where(F.col("batch_id") == batch_id)
-    obs = normalize.observations(raw, _mappings(store))
-    store.commit({"attribute_observation": store.merged("attribute_observation", obs)})
+    obs = normalize.observations(store.batch("raw_record", batch_id), _mappings(store).where(F.col("batch_id") == batch_id))
+    store.commit(batch={"attribute_observation": obs}, batch_id=batch_id)
 
 
 def validate_batch(store: Store, batch_id: str, at: datetime) -> None:
     """Judgements, verdicts and quarantine of a batch, in one commit."""
     _batch(store, batch_id)
-    obs = store.table("attribute_observation").where(F.col("batch_id") == batch_id)
+    obs = store.batch("attribute_observation", batch_id)
     if obs.isEmpty():
         raise ValueError(f"batch {batch_id} has no observations")
     results, verdicts = validate.validate(obs, at.year)
     verdicts = written(verdicts)
     moves = written(quarantine.route(verdicts, store.table("quarantine_item"), _ts(at)))
-    kept = store.table("validation_result").where(F.col("batch_id") != batch_id)
-    store.commit({
-        "validation_result": kept.unionByName(results.select(*kept.columns)), "record_validation": store.merged("record_validation", verdicts),
-        "quarantine_item": store.merged("quarantine_item", quarantine.items_from(moves)), "quarantine_event": store.merged("quarantine_event", quarantine.events_from(moves), "ignore"),
-    })
+    store.commit(
+        {"quarantine_item": store.merged("quarantine_item", quarantine.items_from(moves))},
+        {"validation_result": results, "record_validation": verdicts}, batch_id,
+        {"quarantine_event": quarantine.events_from(moves)},
+    )
 
 
-def gate(store: Store) -> DataFrame:
-    return quarantine.resolvable(store.table("raw_record"), store.table("record_validation"), store.table("quarantine_item"))
+def gate(store: Store, batch_id: str | None = None) -> DataFrame:
+    """Records that may be resolved, of one batch or all."""
+    of = store.table if batch_id is None else lambda name: store.batch(name, batch_id)
+    return quarantine.resolvable(of("raw_record"), of("record_validation"), store.table("quarantine_item"))
 
 
-def accepted_observations(store: Store) -> DataFrame:
-    return normalize.confirmed(store.table("attribute_observation"))
+def accepted_observations(store: Store, batch_id: str | None = None) -> DataFrame:
+    return normalize.confirmed(store.table("attribute_observation") if batch_id is None else store.batch("attribute_observation", batch_id))
 
 
 def resolve_batch(store: Store, batch_id: str, at: datetime) -> None:
     """Link the batch's records that passed the gate and are not linked yet, people's employers too."""
     _batch(store, batch_id)
     done = store.table("record_entity_link").where("role = 'self'").select("record_id")
-    todo = gate(store).where(F.col("batch_id") == batch_id).join(done, "record_id", "left_anti")
+    todo = gate(store, batch_id).join(done, "record_id", "left_anti")
     order = todo.join(F.broadcast(store.table("batch").select("batch_id", F.col("seq").alias("batch_seq"))), "batch_id").select("record_id", (F.col("batch_seq") * F.lit(1 << 32) + F.col("row_number")).alias("seq"))
-    obs = accepted_observations(store).where(F.col("batch_id") == batch_id)
-    role_email = store.table("validation_result").where("rule_id = 'email.role_account' AND outcome = 'fail'").select("record_id").distinct()
+    obs = accepted_observations(store, batch_id)
+    role_email = store.batch("validation_result", batch_id).where("rule_id = 'email.role_account' AND outcome = 'fail'").select("record_id").distinct()
     work = written(resolve.units(resolve.record_values(obs), order, store.table("source"), role_email))
     # records without any confirmed value become entities of their own, too
-    bare = order.join(work.where("role = 'self'").select("record_id"), "record_id", "left_anti").join(store.table("raw_record").select("record_id", "entity_type", "batch_id", "source_id"), "record_id")
+    bare = order.join(work.where("role = 'self'").select("record_id"), "record_id", "left_anti").join(store.batch("raw_record", batch_id).select("record_id", "entity_type", "batch_id", "source_id"), "record_id")
     work = written(work.unionByName(bare.select("record_id", F.lit("self").alias("role"), "entity_type", "batch_id", "source_id", (F.col("seq") * 2).alias("seq"), F.array().cast(f"array<{resolve.KEY}>").alias("keys"), F.lit(None).cast("string").alias("employer"))))
     active = store.table("entity").where("status = 'active'").select("entity_id")
     stored = store.table("entity_identity_key").join(active, "entity_id", "left_semi").select("entity_id", "entity_type", "key_type", "key_value", "strength")
     out = resolve.resolve(work, stored)
-    put = lambda name, df: store.merged(name, df, "ignore")
-    store.commit({
-        "record_entity_link": put("record_entity_link", out["links"].withColumn("linked_at", _ts(at))), "entity": put("entity", out["entities"]), "entity_identity_key": put("entity_identity_key", out["keys"]),
-        "match_candidate": put("match_candidate", out["candidates"].withColumn("created_at", _ts(at))), "entity_relationship": put("entity_relationship", out["relationships"].withColumn("valid_from", _ts(at))),
+    store.commit(batch_id=batch_id, added={
+        "record_entity_link": out["links"].withColumn("linked_at", _ts(at)), "entity": out["entities"], "entity_identity_key": out["keys"],
+        "match_candidate": out["candidates"].withColumn("created_at", _ts(at)), "entity_relationship": out["relationships"].withColumn("valid_from", _ts(at)),
     })
 
 
@@ -191,7 +190,7 @@ def build_golden(store: Store, entities: DataFrame | None, at: datetime) -> dict
 
 def golden_batch(store: Store, batch_id: str, at: datetime) -> dict[str, int]:
     _batch(store, batch_id)
-    return build_golden(store, store.table("record_entity_link").where(F.col("batch_id") == batch_id), at)
+    return build_golden(store, store.batch("record_entity_link", batch_id), at)
 
 
 def run_file(store: Store, path: str, entity_type: str, source_name: str, at: datetime | None = None, with_golden: bool = True, **options: object) -> RunResult:
@@ -219,7 +218,7 @@ def review_mapping(store: Store, mapping_id: str, canonical_field: str | None, a
 
 def review_quarantine(store: Store, record_id: str, verb: str, actor: str, note: str | None, at: datetime) -> None:
     item, event = quarantine.review(store.table("quarantine_item"), record_id, verb, actor, note, _ts(at))
-    store.commit({"quarantine_item": store.merged("quarantine_item", item), "quarantine_event": store.merged("quarantine_event", event, "ignore")})
+    store.commit({"quarantine_item": store.merged("quarantine_item", item)}, added={"quarantine_event": event})
 
 
 def accept_candidate(store: Store, candidate_id: str, actor: str, at: datetime) -> None:
@@ -254,14 +253,15 @@ def merge_duplicates(store: Store, entity_type: str, confirm: bool, at: datetime
 
 def reprocess_errors(store: Store, batch_id: str, actor: str, at: datetime) -> int:
     """Open errors of a batch again, from their exact bytes; rows that can be stored now become records."""
-    bad = store.table("record_error").where((F.col("batch_id") == batch_id) & (F.col("status") == "open"))
+    bad = store.batch("record_error", batch_id).where("status = 'open'")
     again = bad.withColumn("p", F.from_json(F.col("raw_payload_bytes").cast("string"), "map<string,string>")).where(text.unstorable(F.col("p")).isNull() & F.col("p").isNotNull())
     again = written(again)
     rows = again.select(text.stable_id("record", F.col("batch_id"), F.col("row_number")).alias("record_id"), "batch_id", "source_id", "entity_type", "source_record_id", "row_number", text.payload_hash(F.col("p")).alias("payload_hash"), F.col("p").alias("raw_payload"), _ts(at).alias("ingested_at"))
     n = again.count()
     closed = again.drop("p").withColumns({"status": F.lit("reprocessed"), "reviewed_by": F.lit(actor), "review_note": text.stable_id("record", F.col("batch_id"), F.col("row_number"))})
     one = store.table("batch").where(F.col("batch_id") == batch_id).withColumns({"rows_ingested": F.col("rows_ingested") + n, "rows_skipped": F.greatest(F.col("rows_skipped") - n, F.lit(0))})
-    store.commit({"raw_record": store.merged("raw_record", rows, "ignore"), "record_error": store.merged("record_error", closed), "batch": store.merged("batch", one)})
+    errors = upsert(store.batch("record_error", batch_id), store.full("record_error", closed), KEYS["record_error"])
+    store.commit({"batch": store.merged("batch", one)}, {"record_error": errors}, batch_id, {"raw_record": rows})
     return n
 
 
