@@ -35,8 +35,8 @@ def display_names(t: Tables) -> DataFrame:
 def entity_summary(t: Tables, entity_id: str) -> DataFrame:
     """Current attributes of an entity, with the number of records that observe it. Merged ids lead to the survivor."""
     at = resolve_entity(t, entity_id)
-    seen = t["record_entity_link"].where(F.col("entity_id") == at).agg(F.countDistinct("record_id").alias("records"), F.countDistinct("source_id").alias("sources"))
-    return _golden(t).where(F.col("entity_id") == at).crossJoin(F.broadcast(seen)).orderBy("canonical_field")  # one row
+    seen = t["record_entity_link"].where(F.col("entity_id") == at).groupBy("entity_id").agg(F.countDistinct("record_id").alias("records"), F.countDistinct("source_id").alias("sources"))
+    return _golden(t).where(F.col("entity_id") == at).join(seen, "entity_id", "left").orderBy("canonical_field")
 
 
 def contributions(t: Tables, entity_id: str | None = None, canonical_field: str | None = None) -> DataFrame:
@@ -63,7 +63,7 @@ def explain_value(t: Tables, entity_id: str, canonical_field: str) -> dict[str,
     rows = t["golden_attribute"].where((F.col("entity_id") == at) & (F.col("canonical_field") == canonical_field))
     now = rows.where("valid_to IS NULL")
     judged = t["validation_result"].where("observation_id IS NOT NULL").groupBy("observation_id").agg(F.sort_array(F.collect_list(F.struct((F.col("severity") != "error").alias("later"), "rule_id", "severity", "outcome", "message"))).alias("judgements"))  # the rules of one value
-    cells = contributions(t, at, canonical_field).join(judged, "observation_id", "left").crossJoin(F.broadcast(now.select(F.col("value").alias("golden_value"), "winning_record_id")))  # one row
+    cells = contributions(t, at, canonical_field).join(judged, "observation_id", "left").join(now.select("entity_id", F.col("value").alias("golden_value"), "winning_record_id"), "entity_id", "left")
     return {
         "golden": now,
         "contributions": cells.withColumns({"agrees_with_golden": F.col("normalized_value").eqNullSafe(F.col("golden_value")), "is_winning_record": F.col("record_id") == F.col("winning_record_id")}),

@@ -285,5 +285,7 @@ def resolve(todo: DataFrame, stored: DataFrame) -> dict[str, DataFrame]:
 
 
 def resolution_counts(link: DataFrame, cand: DataFrame) -> DataFrame:
-    own = link.where("role = 'self'").agg(F.count_if(F.col("match_status") == "auto_linked").alias("linked"), F.count_if(F.col("match_status") == "new_entity").alias("new"), F.count_if(F.col("match_status") == "manual").alias("manual"))
-    return own.crossJoin(F.broadcast(cand.agg(F.count_if(F.col("status") == "open").alias("candidates"))))  # one row each
+    """One row: linked, new, manual records, open candidates."""
+    own = link.where("role = 'self'").select(F.col("match_status").alias("s"))
+    both = own.union(cand.where("status = 'open'").select(F.lit("candidate")))
+    return both.agg(*[F.count_if(F.col("s") == s).alias(n) for s, n in (("auto_linked", "linked"), ("new_entity", "new"), ("manual", "manual"), ("candidate", "candidates"))])
