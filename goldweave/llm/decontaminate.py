@@ -208,8 +208,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, index_items: int = INDEX
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, all columns, whose doc_id is in no row of contaminated(). Rows without doc_id stay."""
-    leaks = written(contaminated(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct())
-    return docs.join(leaks, F.col("doc_id").cast("long") == F.col("_leak"), "left_anti")
+    leaks = written(contaminated(docs, benchmark).select(F.col("doc_id").alias("_gw_leak")).distinct())
+    return docs.join(leaks, F.col("doc_id").cast("long") == F.col("_gw_leak"), "left_anti")
 
 
 def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -43,16 +43,16 @@ def scanned(docs: DataFrame) -> DataFrame:
 
     Null and empty texts share the digest of an empty text and match nothing. Other columns play no part."""
     spark = docs.sparkSession
-    texts, lines = F.broadcast(known(spark, "text")), known(spark, "notice")
+    texts = F.broadcast(known(spark, "text"))
+    notices = known(spark, "notice").orderBy("digest").collect()  # a row for each notice of the list
+    table = F.create_map(*[F.lit(x) for r in notices for x in (r["digest"], r["license_id"])])
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # notices: few lines name a licence; the others cost one search each. A map of the known digests stands for the join
     # of exploded lines, so a document stays one row and nothing is shuffled.
-    table = F.broadcast(lines.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("digest", "license_id")))).alias("known_lines")))
     candidates = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike("(?i)licen[cs]e|permission is hereby|public domain"))
-    found = F.array_sort(F.array_distinct(F.filter(F.transform(candidates, lambda x: F.element_at("known_lines", digest(x))), lambda x: x.isNotNull())))
+    found = F.array_sort(F.array_distinct(F.filter(F.transform(candidates, lambda x: F.element_at(table, digest(x))), lambda x: x.isNotNull())))
     return (
-        base.crossJoin(table)  # one row
-        .select("doc_id", digest(F.col("text")).alias("text_digest"), found.alias("notices"))
+        base.select("doc_id", digest(F.col("text")).alias("text_digest"), found.alias("notices"))
         .join(texts, F.col("text_digest") == F.col("digest"), "left")
         .select("doc_id", "text_digest", "license_id", "notices")
     )

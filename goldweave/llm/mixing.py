@@ -47,10 +47,9 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share_percent: i
         .withColumn("full", F.col("level") * F.col("w") >= F.col("cap"))
     )
     # the sources that fill up come first; the first that does not sets the level of all after it
-    level = F.min_by("level", F.struct(F.col("source_size") / F.col("w"), F.col("rank")))
-    share = running.where("NOT full").agg(level.alias("share"))
+    first = F.min(F.when(~F.col("full"), F.struct((F.col("source_size") / F.col("w")).alias("ratio"), "rank", "level"))).over(everything)
     return (
-        running.crossJoin(F.broadcast(share))  # one row
+        running.withColumn("share", first["level"])
         .select("source", "source_size", F.when(F.col("full"), F.col("cap").cast("double")).otherwise(F.col("share") * F.col("w")).alias("t"))
         .select("source", "source_size", (F.least("t", F.col("source_size") * float(passes * 100)) / 100).alias("target"))
     )

@@ -145,14 +145,14 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         "*",
         (F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("text_crc32"),
-        text_hash(F.col("text").cast("string")).alias("_h"),
+        text_hash(F.col("text").cast("string")).alias("_gw_h"),
     )
-    rows = rows.withColumn("shard", shard_of(F.col("_h"))).withColumn("_cell", F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "_h"), F.lit(CELLS)).cast("int"))
-    place = Window.partitionBy("shard", "_cell").orderBy("_h", "doc_id")
+    rows = rows.withColumn("shard", shard_of(F.col("_gw_h"))).withColumn("_gw_cell", F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "_gw_h"), F.lit(CELLS)).cast("int"))
+    place = Window.partitionBy("shard", "_gw_cell").orderBy("_gw_h", "doc_id")
     return (
-        rows.withColumn("_n", F.row_number().over(place) - 1)
-        .join(F.broadcast(offsets.withColumnsRenamed({"shard": "_s", "cell": "_c"})), (F.col("shard") == F.col("_s")) & (F.col("_cell") == F.col("_c")))
-        .select(*[F.col(f"`{c}`") for c in names], "size", "text_crc32", "shard", (F.col("_n") + F.col("offset")).cast("long").alias("slot"))
+        rows.withColumn("_gw_n", F.row_number().over(place) - 1)
+        .join(F.broadcast(offsets.withColumnsRenamed({"shard": "_gw_s", "cell": "_gw_c", "offset": "_gw_offset"})), (F.col("shard") == F.col("_gw_s")) & (F.col("_gw_cell") == F.col("_gw_c")))
+        .select(*[F.col(f"`{c}`") for c in names], "size", "text_crc32", "shard", (F.col("_gw_n") + F.col("_gw_offset")).cast("long").alias("slot"))
     )
 
 
