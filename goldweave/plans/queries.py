@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import text
-from ..operators import golden, graph, lineage, mapping, merge, metrics, normalize, quarantine, resolve, upsert, validate
+from ..operators import golden, graph, lineage, listing, mapping, merge, metrics, normalize, quarantine, resolve, upsert, validate
 
 QUERIES: dict[str, Callable] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -677,6 +677,28 @@ def distinct_filter_counts(spark, d):
     return _t(spark, d, "orders").groupBy((F.col("o_custkey") % 10).alias("source")).agg(F.count_if(F.col("o_orderstatus") == "O").alias("open_orders"), F.countDistinct("o_custkey").alias("customers"), F.coalesce(F.max(F.when(F.col("o_orderstatus") == "P", F.col("o_orderkey"))), F.lit(-1)).alias("last_pending"))
 
 
+# --- lists and lookups ---
+
+
+@query("""SELECT o_orderkey AS candidate_id, CAST(o_totalprice AS DOUBLE) AS match_confidence FROM orders WHERE o_orderstatus = 'O' ORDER BY o_totalprice DESC, o_orderdate, o_orderkey LIMIT 20""")
+def review_queue(spark, d):
+    c = _t(spark, d, "orders").select(F.col("o_orderkey").alias("candidate_id"), F.col("o_totalprice").alias("match_confidence"), F.col("o_orderdate").alias("created_at"), F.when(F.col("o_orderstatus") == "O", "open").otherwise("rejected").alias("status"))
+    return listing.candidates(c, limit=20).select("candidate_id", "match_confidence")
+
+
+@query("""SELECT o_orderkey AS batch_id FROM orders WHERE o_custkey = 7 AND o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey LIMIT 1""")
+def newest_completed_batch(spark, d):
+    b = _t(spark, d, "orders").select(F.col("o_orderkey").alias("batch_id"), F.col("o_custkey").alias("source_id"), F.lit("h").alias("file_hash"), F.when(F.col("o_orderstatus") == "F", "completed").alias("status"), F.col("o_orderdate").alias("started_at"))
+    return listing.completed_batch(b, 7, "h").select("batch_id")
+
+
+@query("""SELECT DISTINCT l_suppkey AS entity_id, CASE WHEN s_nationkey % 2 = 0 THEN 'person' ELSE 'company' END AS entity_type FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_partkey = 7 AND s_acctbal > 0""")
+def entities_of_batch(spark, d):
+    links = _t(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("batch_id"), F.col("l_suppkey").alias("entity_id"))
+    ents = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.when(F.col("s_nationkey") % 2 == 0, "person").otherwise("company").alias("entity_type"), F.when(F.col("s_acctbal") > 0, "active").otherwise("merged").alias("status"))
+    return listing.entities_of_batch(links, ents, "7")
+
+
 _FLAGSHIP_SQL = rf"""WITH p AS (SELECT page_id, url, 'n' || (page_id % 40) AS name, min(page_id) OVER (PARTITION BY {_DOMAIN_SQL}) AS first FROM pages),
 v AS (SELECT first, 'company_name' AS canonical_field, name AS value, 'most_frequent' AS strategy FROM p UNION ALL SELECT first, 'website', regexp_replace(url, '/+$', ''), 'most_reliable_source' FROM p)
 SELECT substr(sha256('=entity' || chr(31) || '=company' || chr(31) || '=' || lpad(CAST(first AS VARCHAR), 9, '0') || chr(31) || '=self'), 1, 32) AS entity_id, canonical_field, min(value) AS value, strategy,
