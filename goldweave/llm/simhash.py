@@ -9,8 +9,9 @@ that are joined; each pair that meets is verified):
   index of the next one; 16 keys a fingerprint on average.
 * near_copies(): five-word shingles with a Jaccard similarity of 0.8 or more. Such texts differ in 10 to 20 % of the
   bits, so the fingerprint is longer (SEGMENTS times 23 bits) and each segment is decoded softly: a bit that the
-  shingles hardly decide counts less, and the two best codewords are kept. A key is a pair of segments with one index
-  each, so segments may err as long as two agree. Every pair is verified on its whole shingle sets.
+  shingles hardly decide counts less, and the two best codewords are kept. A key is a pair of segments (three where
+  there are so many texts that chance would fill the buckets) with an index each, so the others may err. Every pair is
+  verified on its whole shingle sets.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ NEAR_BITS = 2
 #: For near_copies: words of a shingle, least Jaccard similarity, 23-bit segments, codewords kept of each.
 SHINGLE, SIMILARITY, SEGMENTS, CODEWORDS = 5, 0.8, 8, 2
 #: near_copies: a pair goes on to the exact check if at most this share of its bits differs. Pairs of similarity 0.8
-#: differ in 15 % on average, of 184 bits; 30 % is over five standard deviations away.
-BITS_APART = 0.30
+#: differ in 15 % on average, of 184 bits; 26 % is four standard deviations away.
+BITS_APART = 0.26
+#: near_copies: first members that a text meets in a round, those with which it shares most keys; rounds at most.
+PARTNERS, ROUNDS = 16, 5
 
 
 def shingle_slices(text: bytes, k: int) -> list[bytes]:
@@ -165,18 +168,29 @@ def soft_indices(margins: np.ndarray, keep: int = CODEWORDS) -> np.ndarray:
     return out.reshape(len(margins), -1, keep)
 
 
-def wide_keys(indices: np.ndarray) -> np.ndarray:
-    """Keys of rows of segments x keep indices: each pair of segments with one index of each."""
+def wide_keys(indices: np.ndarray, width: int = 2) -> np.ndarray:
+    """Keys of rows of segments x keep indices: each choice of `width` segments with the best index of each, or another
+    index for one of them."""
     n, segments, keep = indices.shape
-    cols = [
-        (no << 24) | (indices[:, a, i] << 12) | indices[:, b, j]
-        for no, (a, b) in enumerate(combinations(range(segments), 2))
-        for i in range(keep)
-        for j in range(keep)
-    ]
+    cols = []
+    for no, chosen in enumerate(combinations(range(segments), width)):
+        best = [indices[:, s, 0] for s in chosen]
+        for swap in [None, *((i, k) for i in range(width) for k in range(1, keep))]:
+            key = np.full(n, no, np.int64)
+            for i, s in enumerate(chosen):
+                key = key << 12 | (indices[:, s, swap[1]] if swap and swap[0] == i else best[i])
+            cols.append(key)
     return np.stack(cols, axis=1)
 
 
+def key_width(texts: int) -> int:
+    """Segments of a key, so that its 12 bits each leave few texts to a bucket by chance."""
+    width = 2
+    while texts > 1 << (12 * width - 2):
+        width += 1
+    return width
+
+
 def _words64(margins: np.ndarray) -> np.ndarray:
     packed = np.packbits(margins > 0, axis=1, bitorder="little")
     wide = np.zeros((len(packed), -(-packed.shape[1] // 8) * 8), np.uint8)
@@ -188,18 +202,18 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
     """doc_id, keeper for each document that has an equal text or a near copy: rows of one keeper are one group, joined
     by links of at least `similarity` on sets of k-word shingles; keeper is the smallest doc_id of the group.
 
-    Equal texts are one class (digest of the whole text), so copies are never expanded. In each bucket of a key all
-    members first meet its first member only; components are formed; then every member outside the bucket's largest
-    component meets all members of other components. So a group of n mutual copies costs n pairs, not n squared, and
-    no pair of a bucket that could still join two components is left out. Texts without words are grouped only if
-    equal. Rows without doc_id are in no group."""
+    Equal texts are one class (digest of the whole text), so copies are never expanded. In each bucket of a key the
+    members meet its first member; a text meets the PARTNERS first members that it shares most keys with. Components
+    are formed, and the buckets that still hold several go into another round with another first member each, until a
+    round links nothing new. So a group of n mutual copies costs pairs in proportion to n in each round. Texts without
+    words are grouped only if equal. Rows without doc_id are in no group."""
     base = only(docs, doc_id="long", text="string").where("doc_id IS NOT NULL")
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     members = written(base.select("doc_id", digest.alias("digest")))
     classes = written(members.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
     reps = base.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
-    n_words = -(-SEGMENTS * 23 // 64)
+    n_words, width = -(-SEGMENTS * 23 // 64), key_width(classes.count())
     fields = ", ".join(f"w{i} long" for i in range(n_words))
 
     def sketch(b):
@@ -210,13 +224,13 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
             return {"id": ids, "keys": []} | {f"w{i}": ids for i in range(n_words)}
         m = np.stack([wide_margins(t) if k == SHINGLE else wide_margins(t, k=k) for t, x in zip(texts, some, strict=True) if x])
         w = _words64(m)
-        return {"id": ids, "keys": list(wide_keys(soft_indices(m)))} | {f"w{i}": w[:, i].copy() for i in range(n_words)}
+        return {"id": ids, "keys": list(wide_keys(soft_indices(m), width))} | {f"w{i}": w[:, i].copy() for i in range(n_words)}
 
     sketches = written(arrow_map(reps, sketch, f"id long, keys array<long>, {fields}"))
     ws = [f"w{i}" for i in range(n_words)]
     rows = sketches.select("id", F.explode("keys").alias("key"))
-    first = rows.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    buckets = written(rows.join(first.select("key", "lead"), "key"))
+    full = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    buckets = written(rows.join(full, "key"))
     bits = sketches.select("id", *ws)
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -252,25 +266,36 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
                 ok[i] = common >= similarity * (len(x) + len(y) - common) - 1e-9
             return {"a": b.column("a"), "b": b.column("b"), "ok": ok}
 
-        return written(arrow_map(both, judge, "a long, b long, ok boolean").where("ok").select("a", "b"))
-
-    stars = verified(close(buckets.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()))
-    comp = written(components(stars))
-    labelled = buckets.join(comp.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    sizes = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("top"), F.count("*").alias("cs")).where("cs > 1")
-    open_rows = written(labelled.join(largest.select("key", "top"), "key"))
-    left, right = open_rows.where("c <> top").alias("l"), open_rows.alias("r")
-    rest = (
-        left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.c") != F.col("r.c")))
-        .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
-        .distinct()
-    )
-    late = verified(close(rest).join(stars, ["a", "b"], "left_anti"))
-    groups = written(components(stars.union(late)))
+        out = written(arrow_map(both, judge, "a long, b long, ok boolean").where("ok").select("a", "b"))
+        drop(shingles)
+        return out
+
+    def meetings(members: DataFrame, turn: int) -> DataFrame:
+        """Pairs (a, b), a < b, of members(key, id, c) with first members of other components; PARTNERS for each id."""
+        order = F.struct(F.lit(0).cast("long") if turn == 0 else F.xxhash64("id", "key", F.lit(turn)), F.col("id"))
+        lead = members.groupBy("key").agg(F.min_by(F.struct("id", "c"), order).alias("l"))
+        met = members.join(lead, "key").where("c <> l.c").groupBy("id", F.col("l.id").alias("lead")).agg(F.count("*").alias("n"))
+        # one row for each id and first member of its buckets, so at most the keys of a text
+        ranked = met.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.xxhash64("id", "lead").alias("h"), "lead"))), 1, PARTNERS).alias("best"))
+        pairs = ranked.select("id", F.explode("best.lead").alias("lead"))
+        return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+
+    open_rows = buckets.withColumn("c", F.col("id"))
+    tried = links = groups = None
+    for turn in range(ROUNDS):
+        pairs = written(meetings(open_rows, turn) if tried is None else meetings(open_rows, turn).join(tried, ["a", "b"], "left_anti"))
+        new = verified(close(pairs))
+        tried = pairs if tried is None else written(tried.union(pairs))
+        if turn and new.isEmpty():
+            break
+        links = new if links is None else written(links.union(new), replaces=links)
+        groups = written(components(links), replaces=groups)
+        labelled = buckets.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        several = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
+        open_rows = written(labelled.join(several, "key"))
     of = classes.join(groups, classes["rep"] == groups["node"], "left").select("digest", F.coalesce("component", "rep").alias("keeper"), "n", F.col("component").isNotNull().alias("near"))
     out = written(members.join(of.where("n > 1 OR near"), "digest").select("doc_id", "keeper"))
-    for t in (members, classes, sketches, buckets, open_rows, comp, groups, stars, late):
+    for t in (members, classes, sketches, buckets, open_rows, groups, links, tried):
         drop(t)
     return out
 
@@ -280,12 +305,12 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Rows without doc_id all stay. Of rows that repeat a doc_id, a group keeps one; others are left as they are."""
     groups = near_copies(docs, similarity)
-    gone = groups.where("doc_id <> keeper").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    again = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    gone = groups.where("doc_id <> keeper").select(F.col("doc_id").alias("_gw_gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gw_gone"), "left_anti")
+    again = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_gw_again"))
     if again.isEmpty():
         return kept
     cols = kept.columns
-    twice = kept.join(again, F.col("doc_id").cast("long") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    once = kept.join(again, F.col("doc_id").cast("long") == F.col("_again"), "left_anti")
+    twice = kept.join(again, F.col("doc_id").cast("long") == F.col("_gw_again"), "left_semi").dropDuplicates(["doc_id"])
+    once = kept.join(again, F.col("doc_id").cast("long") == F.col("_gw_again"), "left_anti")
     return once.select(*cols).unionByName(twice.select(*cols))
