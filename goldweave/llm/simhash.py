@@ -229,7 +229,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
     sketches = written(arrow_map(reps, sketch, f"id long, keys array<long>, {fields}"))
     ws = [f"w{i}" for i in range(n_words)]
     rows = sketches.select("id", F.explode("keys").alias("key"))
-    full = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    full = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = written(rows.join(full, "key"))
     bits = sketches.select("id", *ws)
 
@@ -271,15 +271,20 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
         return out
 
     def meetings(members: DataFrame, turn: int) -> DataFrame:
-        """Pairs (a, b), a < b, of members(key, id, c) with first members of other components; PARTNERS for each id."""
+        """Pairs (a, b), a < b, of members(key, id, n, c): of buckets of two, and with first members of other components
+        in larger ones, PARTNERS for each id."""
+        two = members.where("n = 2").groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).select("a", "b")
+        members = members.where("n > 2")
         order = F.struct(F.lit(0).cast("long") if turn == 0 else F.xxhash64("id", "key", F.lit(turn)), F.col("id"))
         lead = members.groupBy("key").agg(F.min_by(F.struct("id", "c"), order).alias("l"))
         met = members.join(lead, "key").where("c <> l.c").groupBy("id", F.col("l.id").alias("lead")).agg(F.count("*").alias("n"))
         # one row for each id and first member of its buckets, so at most the keys of a text
         ranked = met.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.xxhash64("id", "lead").alias("h"), "lead"))), 1, PARTNERS).alias("best"))
         pairs = ranked.select("id", F.explode("best.lead").alias("lead"))
-        return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+        return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).union(two).where("a < b").distinct()
 
+    # a bucket of two has one pair: the first round takes it, and no later one needs the bucket
+    larger = buckets.where("n > 2")
     open_rows = buckets.withColumn("c", F.col("id"))
     tried = links = groups = None
     for turn in range(ROUNDS):
@@ -290,7 +295,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
             break
         links = new if links is None else written(links.union(new), replaces=links)
         groups = written(components(links), replaces=groups)
-        labelled = buckets.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        labelled = larger.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
         several = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
         open_rows = written(labelled.join(several, "key"))
     of = classes.join(groups, classes["rep"] == groups["node"], "left").select("digest", F.coalesce("component", "rep").alias("keeper"), "n", F.col("component").isNotNull().alias("near"))
