@@ -33,8 +33,10 @@ SHINGLE, SIMILARITY, SEGMENTS, CODEWORDS = 5, 0.8, 8, 2
 #: near_copies: a pair goes on to the exact check if at most this share of its bits differs. Pairs of similarity 0.8
 #: differ in 15 % on average, of 184 bits; 26 % is four standard deviations away.
 BITS_APART = 0.26
-#: near_copies: first members that a text meets in a round, those with which it shares most keys; rounds at most.
-PARTNERS, ROUNDS = 16, 5
+#: near_copies: while buckets hold over MANY pairs a member across components, up to ROUNDS times their members meet
+#: the first one, which draws families together; then all pairs meet, BLOCK members of a bucket a task. No limit of these
+#: changes what is compared in the end.
+MANY, ROUNDS, BLOCK = 8, 3, 4096
 
 
 def shingle_slices(text: bytes, k: int) -> list[bytes]:
@@ -198,15 +200,25 @@ def _words64(margins: np.ndarray) -> np.ndarray:
     return wide.view(np.int64)
 
 
+def seed_keys(indices: np.ndarray) -> np.ndarray:
+    """Keys of rows of segments x keep indices: the best codewords of segments 0 and 1, 2 and 3, and so on."""
+    best = indices[:, :, 0]
+    return np.stack([(i << 24) | (best[:, i] << 12) | best[:, i + 1] for i in range(0, best.shape[1] - 1, 2)], axis=1)
+
+
+def _ordered(x: str, y: str) -> list[F.Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
     """doc_id, keeper for each document that has an equal text or a near copy: rows of one keeper are one group, joined
     by links of at least `similarity` on sets of k-word shingles; keeper is the smallest doc_id of the group.
 
-    Equal texts are one class (digest of the whole text), so copies are never expanded. In each bucket of a key the
-    members meet its first member; a text meets the PARTNERS first members that it shares most keys with. Components
-    are formed, and the buckets that still hold several go into another round with another first member each, until a
-    round links nothing new. So a group of n mutual copies costs pairs in proportion to n in each round. Texts without
-    words are grouped only if equal. Rows without doc_id are in no group."""
+    Equal texts are one class (digest of the whole text), so copies are never expanded. Families of near copies are
+    drawn together first: members of a bucket meet its first member, on a few keys and then, while buckets would make
+    many pairs, on all. Then each two members of a bucket that are in different components meet, whatever the bucket's
+    size; so each pair that shares a key and differs in few enough bits is verified or in one group already. Texts
+    without words are grouped only if equal. Rows without doc_id are in no group."""
     base = only(docs, doc_id="long", text="string").where("doc_id IS NOT NULL")
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     members = written(base.select("doc_id", digest.alias("digest")))
@@ -214,40 +226,40 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
     reps = base.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
     n_words, width = -(-SEGMENTS * 23 // 64), key_width(classes.count())
-    fields = ", ".join(f"w{i} long" for i in range(n_words))
+    ws = [f"w{i}" for i in range(n_words)]
+    fields = ", ".join(f"{w} long" for w in ws)
 
     def sketch(b):
         texts = utf8(b)
         some = np.array([bool(t.split()) for t in texts], bool)
         ids = b.column("doc_id").to_numpy(zero_copy_only=False)[some]
         if not len(ids):
-            return {"id": ids, "keys": []} | {f"w{i}": ids for i in range(n_words)}
+            return {"id": ids, "best": []} | {w: ids for w in ws}
         m = np.stack([wide_margins(t) if k == SHINGLE else wide_margins(t, k=k) for t, x in zip(texts, some, strict=True) if x])
         w = _words64(m)
-        return {"id": ids, "keys": list(wide_keys(soft_indices(m), width))} | {f"w{i}": w[:, i].copy() for i in range(n_words)}
+        return {"id": ids, "best": list(soft_indices(m).reshape(len(m), -1))} | {x: w[:, i].copy() for i, x in enumerate(ws)}
 
-    sketches = written(arrow_map(reps, sketch, f"id long, keys array<long>, {fields}"))
-    ws = [f"w{i}" for i in range(n_words)]
-    rows = sketches.select("id", F.explode("keys").alias("key"))
-    full = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = written(rows.join(full, "key"))
-    bits = sketches.select("id", *ws)
-
-    def close(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of ids that differ in few enough bits."""
-        apart = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in ws[1:]), F.bit_count(F.col("x.w0").bitwiseXOR(F.col("y.w0"))))
-        return (
-            pairs.join(bits.alias("x"), F.col("a") == F.col("x.id"))
-            .join(bits.alias("y"), F.col("b") == F.col("y.id"))
-            .where(apart <= int(BITS_APART * SEGMENTS * 23))
-            .select("a", "b")
-        )
+    def keyed(of):
+        """id, key for each key that of(rows of segments x keep indices) makes."""
+
+        def run(b):
+            best = np.array(b.column("best").to_pylist(), np.int64).reshape(b.num_rows, SEGMENTS, CODEWORDS)
+            ids, keys = _explode(b.column("id").to_numpy(zero_copy_only=False), of(best))
+            return {"id": ids, "key": keys}
+
+        return arrow_map(sketches.select("id", "best"), run, "id long, key long")
+
+    sketches = written(arrow_map(reps, sketch, f"id long, best array<int>, {fields}"))
+
+    def shared(rows: DataFrame) -> DataFrame:
+        """id, key of the buckets of two members or more. Both sides of the join are dealt by key once."""
+        dealt = rows.repartition("key")
+        return written(dealt.join(dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key").select("id", "key"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those whose shingle sets are similar enough, from their whole texts."""
-        pairs = written(pairs)
         wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = reps.join(wanted, "doc_id", "left_semi")
+        texts = base.join(wanted, "doc_id", "left_semi")
 
         def sets(b):
             return {"id": b.column("doc_id"), "s": [shingle_set(t, k).view(np.int64) for t in utf8(b)]}
@@ -270,37 +282,61 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
         drop(shingles)
         return out
 
-    def meetings(members: DataFrame, turn: int) -> DataFrame:
-        """Pairs (a, b), a < b, of members(key, id, n, c): of buckets of two, and with first members of other components
-        in larger ones, PARTNERS for each id."""
-        two = members.where("n = 2").groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).select("a", "b")
-        members = members.where("n > 2")
+    def near(x: str, y: str) -> F.Column:
+        """Whether the fingerprints of two rows differ in few enough bits."""
+        return sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in ws), F.lit(0)) <= int(BITS_APART * SEGMENTS * 23)
+
+    def opened(buckets: DataFrame, groups: DataFrame | None) -> DataFrame:
+        """key, id, c, bits, total, big of the buckets that hold several components: c the component, total the members
+        of the bucket, big whether c is the one that most of them are in."""
+        info = sketches.select("id", *ws)
+        c = F.col("id") if groups is None else F.coalesce("component", "id")
+        if groups is not None:
+            info = info.join(groups.withColumnRenamed("node", "id"), "id", "left")
+        rows = written(buckets.join(info.select("id", c.alias("c"), *ws), "id"))
+        parts = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("total"), F.max(F.struct("n", "c")).alias("most"), F.sum(F.col("n") * F.col("n")).alias("square"), F.count("*").alias("parts"))
+        several = parts.where("parts > 1").select("key", "total", F.col("most.c").alias("most"), ((F.col("total") * F.col("total") - F.col("square")) / F.lit(2) / F.col("total")).alias("pairs"))
+        out = written(rows.join(several, "key").select("key", "id", "c", *ws, "total", "pairs", (F.col("c") == F.col("most")).alias("big")))
+        drop(rows)
+        return out
+
+    def first_met(rows: DataFrame, turn: int) -> DataFrame:
+        """Pairs (a, b), a < b: members of a bucket with its first member, where that is of another component."""
         order = F.struct(F.lit(0).cast("long") if turn == 0 else F.xxhash64("id", "key", F.lit(turn)), F.col("id"))
-        lead = members.groupBy("key").agg(F.min_by(F.struct("id", "c"), order).alias("l"))
-        met = members.join(lead, "key").where("c <> l.c").groupBy("id", F.col("l.id").alias("lead")).agg(F.count("*").alias("n"))
-        # one row for each id and first member of its buckets, so at most the keys of a text
-        ranked = met.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.xxhash64("id", "lead").alias("h"), "lead"))), 1, PARTNERS).alias("best"))
-        pairs = ranked.select("id", F.explode("best.lead").alias("lead"))
-        return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).union(two).where("a < b").distinct()
-
-    # a bucket of two has one pair: the first round takes it, and no later one needs the bucket
-    larger = buckets.where("n > 2")
-    open_rows = buckets.withColumn("c", F.col("id"))
-    tried = links = groups = None
-    for turn in range(ROUNDS):
-        pairs = written(meetings(open_rows, turn) if tried is None else meetings(open_rows, turn).join(tried, ["a", "b"], "left_anti"))
-        new = verified(close(pairs))
-        tried = pairs if tried is None else written(tried.union(pairs))
-        if turn and new.isEmpty():
-            break
-        links = new if links is None else written(links.union(new), replaces=links)
+        lead = rows.groupBy("key").agg(F.min_by(F.struct("id", "c", *ws), order).alias("l")).select("key", "l.*")
+        return rows.alias("x").join(lead.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & near("x", "y")).select(*_ordered("x.id", "y.id")).distinct()
+
+    def all_met(rows: DataFrame) -> DataFrame:
+        """Pairs (a, b), a < b: all members of a bucket with all of its other components. One end of each is not of the
+        largest component, so that one's members never meet each other; large buckets are cut into blocks."""
+        blocks = F.ceil(F.col("total") / BLOCK).cast("int")
+        x = rows.where("NOT big").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        y = rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        same = (F.col("x.key") == F.col("y.key")) & (F.col("x.block") == F.col("y.block"))
+        once = F.col("y.big") | (F.col("x.id") < F.col("y.id"))
+        return x.alias("x").join(y.alias("y"), same & (F.col("x.c") != F.col("y.c")) & once & near("x", "y")).select(*_ordered("x.id", "y.id")).distinct()
+
+    buckets, groups, links, tried, turn = shared(keyed(seed_keys)), None, None, None, 0
+    whole = False  # whether all keys are in and all pairs met
+    while not whole:
+        if turn == 1:  # families are drawn together: now all keys
+            drop(buckets)
+            buckets = shared(keyed(lambda best: wide_keys(best, width)))
+        rows = opened(buckets, groups)
+        if turn:
+            n, pairs = rows.agg(F.count("*"), F.coalesce(F.sum("pairs"), F.lit(0.0))).first()
+            whole = pairs <= MANY * n or turn > ROUNDS
+        found = all_met(rows) if whole else first_met(rows, turn)
+        pairs = written(found if tried is None else found.join(tried, ["a", "b"], "left_anti"))
+        new = verified(pairs)
+        tried = written(pairs if tried is None else tried.union(pairs), replaces=tried)
+        links = written(new if links is None else links.union(new), replaces=links)
         groups = written(components(links), replaces=groups)
-        labelled = larger.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-        several = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
-        open_rows = written(labelled.join(several, "key"))
+        drop(rows)
+        turn += 1
     of = classes.join(groups, classes["rep"] == groups["node"], "left").select("digest", F.coalesce("component", "rep").alias("keeper"), "n", F.col("component").isNotNull().alias("near"))
     out = written(members.join(of.where("n > 1 OR near"), "digest").select("doc_id", "keeper"))
-    for t in (members, classes, sketches, buckets, open_rows, groups, links, tried):
+    for t in (members, classes, sketches, buckets, groups, links, tried):
         drop(t)
     return out
 

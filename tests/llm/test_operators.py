@@ -386,6 +386,22 @@ def test_near_copies_are_found(spark, odd, none):
     assert simhash.deduplicated(none).isEmpty()
 
 
+def test_no_pair_of_a_crowded_bucket_is_left_out(spark):
+    # 150 families of two share a template, so most keys are in crowded buckets, but only a family's texts are near copies
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(5000)]
+    template = [rng.choice(vocab) for _ in range(150)]
+    docs = []
+    for g in range(150):
+        own = template[:70] + [rng.choice(vocab) for _ in range(4)] + template[74:]
+        docs += [(g, " ".join(own)), (1000 + g, " ".join([*own[:-1], "changed"]))]
+    sets = {i: simhash.shingle_set(t.encode()) for i, t in docs}
+    similar = lambda i, j: (c := len(np.intersect1d(sets[i], sets[j]))) / (len(sets[i]) + len(sets[j]) - c)
+    assert min(similar(g, 1000 + g) for g in range(150)) > 0.95 > max(similar(i, j) for i in sets for j in sets if i % 1000 < j % 1000)
+    got = {r["doc_id"]: r["keeper"] for r in simhash.near_copies(spark.createDataFrame(docs, "doc_id long, text string"), similarity=0.95).collect()}
+    assert got == {i: i % 1000 for i, _ in docs}
+
+
 def test_op10_odd_inputs(odd):
     out = simhash.linked(simhash.fingerprints(odd)).collect()
     assert len(out) == odd.count()
