@@ -9,9 +9,9 @@ that are joined; each pair that meets is verified):
   index of the next one; 16 keys a fingerprint on average.
 * near_copies(): five-word shingles with a Jaccard similarity of 0.8 or more. Such texts differ in 10 to 20 % of the
   bits, so the fingerprint is longer (SEGMENTS times 23 bits) and each segment is decoded softly: a bit that the
-  shingles hardly decide counts less, and the two best codewords are kept. A key is a pair of segments (three where
-  there are so many texts that chance would fill the buckets) with an index each, so the others may err. Every pair is
-  verified on its whole shingle sets.
+  shingles hardly decide counts less, and the two best codewords are kept. A key is a pair of segments with
+  an index each, so the others may err; it is the same at every size. Where chance fills buckets, the bits that differ
+  decide which pairs of a bucket go on. Every one of these is verified on its whole shingle sets.
 """
 
 from __future__ import annotations
@@ -185,14 +185,6 @@ def wide_keys(indices: np.ndarray, width: int = 2) -> np.ndarray:
     return np.stack(cols, axis=1)
 
 
-def key_width(texts: int) -> int:
-    """Segments of a key, so that its 12 bits each leave few texts to a bucket by chance."""
-    width = 2
-    while texts > 1 << (12 * width - 2):
-        width += 1
-    return width
-
-
 def _words64(margins: np.ndarray) -> np.ndarray:
     packed = np.packbits(margins > 0, axis=1, bitorder="little")
     wide = np.zeros((len(packed), -(-packed.shape[1] // 8) * 8), np.uint8)
@@ -225,7 +217,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
     classes = written(members.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
     reps = base.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
-    n_words, width = -(-SEGMENTS * 23 // 64), key_width(classes.count())
+    n_words = -(-SEGMENTS * 23 // 64)
     ws = [f"w{i}" for i in range(n_words)]
     fields = ", ".join(f"{w} long" for w in ws)
 
@@ -321,7 +313,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
     while not whole:
         if turn == 1:  # families are drawn together: now all keys
             drop(buckets)
-            buckets = shared(keyed(lambda best: wide_keys(best, width)))
+            buckets = shared(keyed(wide_keys))
         rows = opened(buckets, groups)
         if turn:
             n, pairs = rows.agg(F.count("*"), F.coalesce(F.sum("pairs"), F.lit(0.0))).first()

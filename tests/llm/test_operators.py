@@ -402,6 +402,21 @@ def test_no_pair_of_a_crowded_bucket_is_left_out(spark):
     assert got == {i: i % 1000 for i, _ in docs}
 
 
+def test_near_copies_do_not_depend_on_the_number_of_texts(spark, monkeypatch):
+    # three segments a key were taken above four million texts, which loses pairs that fewer texts find
+    monkeypatch.setattr(simhash, "key_width", lambda texts: 3, raising=False)
+    rng = random.Random(8)
+    docs = []
+    for g in range(300):
+        words = [f"{g}w{i}" for i in range(300)]
+        docs.append((g, " ".join(words)))
+        for i in range(6):
+            words[20 + 50 * i] = f"x{rng.random()}"
+        docs.append((1000 + g, " ".join(words)))
+    got = {r["doc_id"]: r["keeper"] for r in simhash.near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert sum(got.get(1000 + g) == g for g in range(300)) >= 0.93 * 300
+
+
 def test_op10_odd_inputs(odd):
     out = simhash.linked(simhash.fingerprints(odd)).collect()
     assert len(out) == odd.count()
