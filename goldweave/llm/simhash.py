@@ -16,7 +16,7 @@ that are joined; each pair that meets is verified):
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import xxhash
@@ -29,10 +29,10 @@ from .common import arrow_map, components, drop, only, utf8, written
 #: Differing bits at most, of 64.
 NEAR_BITS = 2
 #: For near_copies: words of a shingle, least Jaccard similarity, 23-bit segments, codewords kept of each.
-SHINGLE, SIMILARITY, SEGMENTS, CODEWORDS = 5, 0.8, 8, 2
-#: near_copies: a pair goes on to the exact check if at most this share of its bits differs. Pairs of similarity 0.8
-#: differ in 15 % on average, of 184 bits; 26 % is four standard deviations away.
-BITS_APART = 0.26
+SHINGLE, SIMILARITY, SEGMENTS, CODEWORDS = 5, 0.8, 10, 2
+#: near_copies: a pair is verified if at most this share of its bits differs. Pairs of similarity 0.8 differ in 15 % on
+#: average, of 230 bits; 30 % is six standard deviations away.
+BITS_APART = 0.30
 #: near_copies: while buckets hold over MANY pairs a member across components, up to ROUNDS times their members meet
 #: the first one, which draws families together; then all pairs meet, BLOCK members of a bucket a task. No limit of these
 #: changes what is compared in the end.
@@ -170,18 +170,14 @@ def soft_indices(margins: np.ndarray, keep: int = CODEWORDS) -> np.ndarray:
     return out.reshape(len(margins), -1, keep)
 
 
-def wide_keys(indices: np.ndarray, width: int = 2) -> np.ndarray:
-    """Keys of rows of segments x keep indices: each choice of `width` segments with the best index of each, or another
-    index for one of them."""
+def wide_keys(indices: np.ndarray) -> np.ndarray:
+    """Keys of rows of segments x keep indices: each two segments with each choice of their indices."""
     n, segments, keep = indices.shape
-    cols = []
-    for no, chosen in enumerate(combinations(range(segments), width)):
-        best = [indices[:, s, 0] for s in chosen]
-        for swap in [None, *((i, k) for i in range(width) for k in range(1, keep))]:
-            key = np.full(n, no, np.int64)
-            for i, s in enumerate(chosen):
-                key = key << 12 | (indices[:, s, swap[1]] if swap and swap[0] == i else best[i])
-            cols.append(key)
+    cols = [
+        np.full(n, no, np.int64) << 24 | indices[:, i, a] << 12 | indices[:, j, b]
+        for no, (i, j) in enumerate(combinations(range(segments), 2))
+        for a, b in product(range(keep), repeat=2)
+    ]
     return np.stack(cols, axis=1)
 
 

@@ -417,6 +417,17 @@ def test_near_copies_do_not_depend_on_the_number_of_texts(spark, monkeypatch):
     assert sum(got.get(1000 + g) == g for g in range(300)) >= 0.93 * 300
 
 
+def test_near_pairs_share_a_key():
+    rng = np.random.default_rng(4)
+    n, bits, shingles, common = 2000, simhash.SEGMENTS * 23, 300, 267  # similarity 0.802
+    both = rng.binomial(common, 0.5, (n, bits))
+    x, y = (2 * (both + rng.binomial(shingles - common, 0.5, (n, bits))) / shingles - 1 for _ in range(2))
+    keys = [simhash.wide_keys(simhash.soft_indices(m)) for m in (x, y)]
+    found = np.array([len(np.intersect1d(a, b)) > 0 for a, b in zip(*keys, strict=True)])
+    found &= ((x > 0) != (y > 0)).sum(axis=1) <= int(simhash.BITS_APART * bits)
+    assert found.mean() >= 0.99
+
+
 def test_op10_odd_inputs(odd):
     out = simhash.linked(simhash.fingerprints(odd)).collect()
     assert len(out) == odd.count()
