@@ -1,7 +1,9 @@
 """Substring dedup by unit hashing: passages that repeat across documents go, but for their earliest occurrence.
 
-Units are the sentences of each line, so a passage is found wherever it stands in a paragraph, not only where it is a
-line of its own. Units are normalised and digested; the earliest (doc_id, offset) of each digest is its keeper. Runs of
+Texts are cut into pieces of a few words, at sentence and line ends and where a hash of the words near by says so. So a
+passage has the same pieces wherever it stands, also where its sentences are few, long or joined with the host's words;
+only its first and last words depend on the host. A unit is two neighbouring pieces, as one of a few words repeats by
+chance. Units are normalised and digested; the earliest (doc_id, offset) of each digest is its keeper. Runs of
 neighbouring units whose keepers are elsewhere are removed when they hold MIN_RUN_WORDS words or more: a single common
 sentence is no repeated passage. Original offsets are kept for every removed run."""
 
@@ -9,54 +11,72 @@ from __future__ import annotations
 
 import hashlib
 import re
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, only, utf8, written
 
-#: Words of a removed run at least. A passage of over 50 words may be cut into a line anywhere: its first and last
-#: sentences are then joined with others', and what is left whole is well over this.
+#: Words of a removed run at least. A passage of over 50 words may be cut into a line anywhere: its words up to the first
+#: cut that it shares with its copies, and those after the last one, are in units with others' words.
 MIN_RUN_WORDS = 25
-#: A sentence of fewer words is no unit of its own.
-MIN_UNIT_WORDS = 4
-
-#: A unit ends after . ! ? (and closing quotes) before a blank, or at a line end.
-_UNIT = re.compile(rb"[^\n]+?(?:[.!?][\"')\]]*(?=[ \t\r\x0b\x0c]|$)|(?=\n|$))", re.MULTILINE)
-_NOISE = bytes.maketrans(bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127)), b" " * 32)
+#: Besides sentences, a piece begins at a word whose hash is the least of the NEAR words before and after it.
+NEAR = 3
 
+#: A sentence ends after . ! ? (and closing quotes) before a blank, or at a line end.
+_STOP = re.compile(rb"[.!?][\"')\]]*(?=[ \t\r\x0b\x0c])|\n")
 
-def units(text: bytes) -> list[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of the units in byte offsets; normal form: ASCII lower case, ASCII punctuation and
-    blanks as one space. A sentence of fewer than MIN_UNIT_WORDS words goes on into the next ones of its line."""
-    out: list[tuple[int, int, int, bytes]] = []
-    held: list[bytes] = []
-    start = end = 0
-    for m in _UNIT.finditer(text):
-        w = m.group().lower().translate(_NOISE).split()
-        if held and text.find(b"\n", end, m.start()) >= 0:
-            out.append((start, end, len(held), _digest(held)))
-            held = []
-        if not w:
-            continue
-        if not held:
-            start = m.start()
-        held += w
-        end = m.end()
-        if len(held) >= MIN_UNIT_WORDS:
-            out.append((start, end, len(held), _digest(held)))
-            held = []
-    if held:
-        out.append((start, end, len(held), _digest(held)))
-    return out
+_NOISE = bytes.maketrans(bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127)), b" " * 32)
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _cuts(words: list[bytes]) -> np.ndarray:
+    """Numbers of the words that hashes choose for a piece to begin at; the hash is of a word and the one before it."""
+    n = len(words)
+    h = np.fromiter(map(crc32, words), np.uint64, n)
+    v = h * np.uint64(0x9E3779B97F4A7C15)
+    v[1:] ^= h[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)
+    v = (v ^ (v >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    least = np.ones(n, bool)
+    for d in range(1, NEAR + 1):
+        least[d:] &= v[d:] < v[:-d]
+        least[:-d] &= v[:-d] <= v[d:]
+    return np.flatnonzero(least)
+
+
+def units(text: bytes) -> list[tuple[int, int, int, bytes, int]]:
+    """(start, end, words, digest, words that are in the next unit too) of the units in byte offsets; normal form: ASCII
+    lower case, ASCII punctuation and blanks as one space. A unit ends with the signs that follow its last word; a text
+    of one piece is one unit."""
+    plain = text.lower().translate(_NOISE)
+    words = plain.split()
+    if not words:
+        return []
+    inside = np.concatenate([[False], ~_BLANK[np.frombuffer(plain, np.uint8)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    begun = np.zeros(len(words) + 1, bool)
+    begun[_cuts(words)] = True
+    begun[np.searchsorted(starts, [m.start() for m in _STOP.finditer(text)])] = True
+    begun[0], begun[-1] = True, True
+    cuts = np.flatnonzero(begun)
+    blank = np.append(np.flatnonzero(_BLANK[np.frombuffer(text, np.uint8)]), len(text))
+    end = np.minimum(blank[np.searchsorted(blank, ends[cuts[1:] - 1])], np.append(starts, len(text))[cuts[1:]]).tolist()
+    start, cuts = starts[cuts[:-1]].tolist(), cuts.tolist()
+    if len(start) == 1:
+        return [(start[0], end[0], len(words), _digest(words), 0)]
+    return [(start[i], end[i + 1], cuts[i + 2] - cuts[i], _digest(words[cuts[i] : cuts[i + 2]]), cuts[i + 2] - cuts[i + 1]) for i in range(len(start) - 1)]
 
 
 def _digest(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=12).digest()
 
 
-def runs(found: list[tuple[int, int, int, bytes]], repeated: dict[int, int], least: int = MIN_RUN_WORDS) -> list[tuple[int, int, int, int]]:
+def runs(found: list[tuple[int, int, int, bytes, int]], repeated: dict[int, int], least: int = MIN_RUN_WORDS) -> list[tuple[int, int, int, int]]:
     """(start, end, words, keeper's doc) of the runs to remove; repeated: number of a unit to its keeper's doc_id."""
     out, i = [], 0
     while i < len(found):
@@ -66,7 +86,7 @@ def runs(found: list[tuple[int, int, int, bytes]], repeated: dict[int, int], lea
         j = i
         while j < len(found) and j in repeated:
             j += 1
-        n = sum(x[2] for x in found[i:j])
+        n = sum(x[2] for x in found[i:j]) - sum(x[4] for x in found[i : j - 1])
         if n >= least:
             out.append((found[i][0], found[j - 1][1], n, min(repeated[k] for k in range(i, j))))
         i = j
@@ -84,7 +104,7 @@ def repeated_runs(docs: DataFrame, least: int = MIN_RUN_WORDS) -> DataFrame:
     def cut(b):
         ids, nos, digests = [], [], []
         for doc, text in zip(b.column("doc_id").to_pylist(), utf8(b), strict=True):
-            for no, (_, _, _, d) in enumerate(units(text)):
+            for no, (_, _, _, d, _) in enumerate(units(text)):
                 ids.append(doc)
                 nos.append(no)
                 digests.append(d)

@@ -246,6 +246,24 @@ def test_passages_against_brute_force(spark, texts):
     assert got == want
 
 
+def test_passages_of_few_long_sentences_are_found():
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    words = lambda n: " ".join(word() for _ in range(n))
+    lost = 0
+    for k in range(600):
+        # 53 words in one to three sentences, the first joined with the words before it, the last with those after it
+        sizes = [[53], [31, 22], [31, 6, 16]][k % 3]
+        passage = ". ".join(words(n) for n in sizes)
+        one, two = (f"{words(40)}. {words(9)} {passage} {words(7)}. {words(30)}.".encode() for _ in range(2))
+        seen = {u[3] for u in passages.units(one)}
+        found = passages.units(two)
+        runs = passages.runs(found, {i: 0 for i, u in enumerate(found) if u[3] in seen})
+        lost += not runs
+        assert all(two[s:e].decode().strip(" .") in passage for s, e, _, _ in runs)
+    assert lost <= 6
+
+
 # --- 8 ---
 
 
