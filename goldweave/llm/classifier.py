@@ -17,8 +17,8 @@ from .common import arrow_map, only, utf8, written
 PASSAGE = 64
 #: The classifier is fitted on so many labelled documents at most, those with the smallest hash of doc_id.
 MAX_TRAIN = 3000
-#: Passages of the sample that the driver takes in at most: 2**18 passages are 34 MB. A sample with more loses whole
-#: documents, largest hashes first; scoring has no such bound.
+#: Passages of the sample that the driver takes in at most: 2**18 passages are 34 MB. A document that does not
+#: fit in any more is left out, later ones that fit are not; scoring has no such bound.
 MAX_PASSAGES = 1 << 18
 HIDDEN, ATTENTION, STEPS, RATE, DECAY = 16, 8, 250, 0.03, 1e-4
 #: Rows of the fold with remainder 0 are held out.
@@ -135,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Gat
     for r in coded.toLocalIterator():
         x = np.frombuffer(bytes(r["x"]), np.float32).reshape(-1, DIM)
         if n + len(x) > MAX_PASSAGES:
-            break
+            continue
         bags.append(x)
         ys.append(r["y"])
         n += len(x)

@@ -84,6 +84,15 @@ def test_classifier_learns_held_out_labels(spark):
     assert got.score.between(0, 1).all() and ((got.score >= 0.3) == (got.predicted == 1)).all()
 
 
+def test_classifier_skips_only_the_document_that_does_not_fit(spark, monkeypatch):
+    monkeypatch.setattr(classifier, "MAX_PASSAGES", 40)
+    long = " ".join(["word"] * 64 * 41)
+    docs = [(i, long if i % 2 else f"good words {i}" if i % 4 else f"!!! ### {i}") for i in range(40)]
+    marks = [(i, int(i % 4 > 0)) for i in range(40)]
+    model = classifier.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int"))
+    assert model is not None
+
+
 def test_classifier_gradient():
     rng = np.random.default_rng(0)
     x, starts, y = rng.normal(size=(30, 5)), np.array([0, 4, 5, 17]), np.array([0, 1, 1, 0.0])
