@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from ..scratch import drop, written
 
-__all__ = ["arrow_map", "components", "drop", "only", "small_batches", "table", "utf8", "words", "written"]
+__all__ = ["arrow_map", "bounded", "components", "drop", "only", "small_batches", "table", "utf8", "words", "written"]
 
 #: Rows of an Arrow batch. Documents can be long, so a batch of texts stays small.
 ARROW_ROWS = 256
@@ -61,6 +61,15 @@ def only(df: DataFrame, **kinds: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(k).alias(c) for c, k in kinds.items()])
 
 
+#: Rows of a few numbers or digests that a join may broadcast (some 60 MB); beyond it the join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """df, of so many narrow rows, marked for broadcast if that is few enough."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def words(c) -> F.Column:
     """Number of words [^\\x20\\x09-\\x0D]+ of a text (null: 0)."""
     return F.coalesce(F.regexp_count(c, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

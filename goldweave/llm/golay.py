@@ -45,9 +45,10 @@ def decode(v: np.ndarray) -> np.ndarray:
     return (v ^ error[low[v & 0xFFF] ^ high[v >> 12]]) >> CHECK
 
 
-def ball(v: np.ndarray) -> np.ndarray:
-    """One row for each word: the sorted indices of it and of its 23 neighbours; repeats follow the first as -1."""
-    flips = np.concatenate([[0], 1 << np.arange(N)]).astype(np.uint32)
+def ball(v: np.ndarray, bits: int = N) -> np.ndarray:
+    """One row for each word: the sorted indices of it and of its neighbours in the lowest `bits`; repeats follow the
+    first as -1."""
+    flips = np.concatenate([[0], 1 << np.arange(bits)]).astype(np.uint32)
     found = np.sort(decode(v.astype(np.uint32)[:, None] ^ flips[None, :]).astype(np.int64), axis=1)
     found[:, 1:][found[:, 1:] == found[:, :-1]] = -1
     return found

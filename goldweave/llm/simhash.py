@@ -4,39 +4,43 @@ Two uses share the method (segments of a fingerprint are decoded to nearby Golay
 that are joined; each pair that meets is verified):
 
 * fingerprints() and linked(): 64 bits of word shingles, all pairs of at most two differing bits, found without loss.
-  The bits are cut into segments of 23, 23 and 18. Two errors leave one of the three segments without error, and any
+  The bits are cut into segments of 22, 21 and 21. Two errors leave one of the three segments without error, and any
   other segment has at most two, where the index sets of golay.ball() always meet. So a key is one whole segment and an
-  index of the next one; 16 keys a fingerprint on average.
-* near_copies(): five-word shingles with a Jaccard similarity of 0.8 or more. Such texts differ in 10 to 20 % of the
+  index of the next one; 33 bits or more, and some 16 keys a fingerprint.
+* near_copies(): five-word shingles with a Jaccard similarity of 0.8 or more. Such texts differ in some 15 % of the
   bits, so the fingerprint is longer (SEGMENTS times 23 bits) and each segment is decoded softly: a bit that the
-  shingles hardly decide counts less, and the two best codewords are kept. A key is a pair of segments with
-  an index each, so the others may err; it is the same at every size. Where chance fills buckets, the bits that differ
-  decide which pairs of a bucket go on. Every one of these is verified on its whole shingle sets.
+  shingles hardly decide counts less, and the two best codewords are kept. A key is a pair of segments near each other
+  with an index each, so the others may err; it is the same at every size. Where chance fills buckets, the bits that
+  differ decide which pairs of a bucket go on. Every one of these is verified on its whole shingle sets.
 """
 
 from __future__ import annotations
 
-from itertools import combinations, product
+import hashlib
+from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .common import arrow_map, components, drop, only, utf8, written
+from .common import arrow_map, bounded, components, drop, only, small_batches, utf8, written
 
-#: Differing bits at most, of 64.
-NEAR_BITS = 2
+#: Differing bits at most, of 64; bits of the segments.
+NEAR_BITS, CUT = 2, (22, 21, 21)
 #: For near_copies: words of a shingle, least Jaccard similarity, 23-bit segments, codewords kept of each.
-SHINGLE, SIMILARITY, SEGMENTS, CODEWORDS = 5, 0.8, 10, 2
+SHINGLE, SIMILARITY, SEGMENTS, CODEWORDS = 5, 0.8, 16, 2
+#: near_copies: the segments of a key lie so far apart, on a ring.
+APART = (1, 2)
 #: near_copies: a pair is verified if at most this share of its bits differs. Pairs of similarity 0.8 differ in 15 % on
-#: average, of 230 bits; 30 % is six standard deviations away.
-BITS_APART = 0.30
+#: average, of 1,024 bits, so 19.5 % is four standard deviations away; texts that merely share a passage differ in more.
+BITS_APART = 0.195
 #: near_copies: while buckets hold over MANY pairs a member across components, up to ROUNDS times their members meet
-#: the first one, which draws families together; then all pairs meet, BLOCK members of a bucket a task. No limit of these
-#: changes what is compared in the end.
-MANY, ROUNDS, BLOCK = 8, 3, 4096
+#: the first one, which draws families together, as long as that links one in ten; then all pairs meet, BLOCK members of a bucket a task. No limit of these
+#: changes what is compared in the end. SPLIT: a text in more pairs than this is verified in several tasks.
+MANY, ROUNDS, BLOCK, SPLIT = 8, 3, 4096, 1024
 
 
 def shingle_slices(text: bytes, k: int) -> list[bytes]:
@@ -85,10 +89,13 @@ def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
 def fingerprint_keys(fp: np.ndarray) -> np.ndarray:
     """One row of keys for each fingerprint (-1: none): a whole segment and an index of the next, 37 bits with its kind."""
     u = fp.view(np.uint64)
-    seg = [(u & np.uint64(0x7FFFFF)).astype(np.int64), (u >> np.uint64(23) & np.uint64(0x7FFFFF)).astype(np.int64), (u >> np.uint64(46)).astype(np.int64)]
+    seg, at = [], 0
+    for n in CUT:
+        seg.append((u >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64))
+        at += n
     out = []
     for kind in range(3):
-        near = golay.ball(seg[(kind + 1) % 3])
+        near = golay.ball(seg[(kind + 1) % 3], CUT[(kind + 1) % 3])
         out.append(np.where(near < 0, -1, (kind << 35) | (seg[kind][:, None] << 12) | near))
     return np.concatenate(out, axis=1)
 
@@ -133,20 +140,39 @@ def linked(fps: DataFrame, bits: int = NEAR_BITS) -> DataFrame:
 
 # --- near copies: five-word shingles, Jaccard similarity of 0.8 or more ---
 
+#: Pairs of segments that make a key, some of each kind of distance first.
+KINDS = [(i, (i + d) % SEGMENTS) for d in APART for i in [*range(0, SEGMENTS, 2), *range(1, SEGMENTS, 2)]]
+#: 64-bit words of the fingerprint, of which the segments take the first bits, and of the codewords' indices, five a word.
+WORDS, CODES = 16, -(-SEGMENTS * CODEWORDS // 5)
+
 
 def shingle_set(text: bytes, k: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles."""
-    s = shingle_slices(text, k)
-    return np.unique(np.frombuffer(b"".join([xxhash.xxh3_64_digest(x) for x in s]), ">u8").astype(np.uint64))
+    """Sorted distinct 64-bit hashes of the shingles, each mixed from the XXH3 of its words; fewer words: one of all."""
+    words = text.lower().split()
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    n = min(k, len(h))
+    out = np.zeros(max(0, len(h) - n + 1) if n else 0, np.uint64)
+    for i in range(n):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[i : i + len(out)]
+    return np.unique(out ^ (out >> np.uint64(32)))
+
+
+def streams(h: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """A row of words for each hash: the outputs of SplitMix64 that follow it."""
+    out = np.empty((len(h), words), np.uint64)
+    for i in range(words):
+        z = h + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out[:, i] = z ^ (z >> np.uint64(31))
+    return out
 
 
-def wide_margins(text: bytes, segments: int = SEGMENTS, k: int = SHINGLE) -> np.ndarray:
-    """For each of the bits, in -1..1, how clearly the distinct shingles want it set."""
-    s = list(set(shingle_slices(text, k)))
-    blocks = -(-segments * 23 // 128)
-    raw = b"".join(xxhash.xxh3_128_digest(x, seed) for x in s for seed in range(blocks))
-    counts = bit_counts(np.frombuffer(raw, np.uint64).reshape(len(s), blocks * 2))[: segments * 23]
-    return counts * 2.0 / len(s) - 1.0
+def wide_margins(text: bytes, k: int = SHINGLE) -> np.ndarray:
+    """For each of the bits, by how many the distinct shingles that have it exceed those that don't."""
+    h = shingle_set(text, k)
+    counts = sum(bit_counts(streams(h[i : i + 16384])) for i in range(0, len(h), 16384))
+    return counts * 2 - len(h)
 
 
 def _codebook() -> np.ndarray:
@@ -155,14 +181,14 @@ def _codebook() -> np.ndarray:
 
 
 def soft_indices(margins: np.ndarray, keep: int = CODEWORDS) -> np.ndarray:
-    """Rows of segments x 23 margins to rows of segments x keep indices: the codewords that agree best.
+    """Rows of segments x 23 margins, whole numbers, to rows of segments x keep indices: the codewords that agree best.
 
-    Equal scores: the smaller index first, so that reruns agree."""
+    Sums of whole numbers are exact, and of equal ones the smaller index goes first, so that reruns agree."""
     rows = margins.reshape(-1, 23).astype(np.float32)
     book = _codebook().T
     out = np.empty((len(rows), keep), np.int64)
     for i in range(0, len(rows), 1024):
-        score = np.round(rows[i : i + 1024] @ book, 4)
+        score = rows[i : i + 1024] @ book
         for j in range(keep):
             best = score.argmax(axis=1)
             out[i : i + 1024, j] = best
@@ -170,129 +196,159 @@ def soft_indices(margins: np.ndarray, keep: int = CODEWORDS) -> np.ndarray:
     return out.reshape(len(margins), -1, keep)
 
 
-def wide_keys(indices: np.ndarray) -> np.ndarray:
-    """Keys of rows of segments x keep indices: each two segments with each choice of their indices."""
-    n, segments, keep = indices.shape
-    cols = [
-        np.full(n, no, np.int64) << 24 | indices[:, i, a] << 12 | indices[:, j, b]
-        for no, (i, j) in enumerate(combinations(range(segments), 2))
-        for a, b in product(range(keep), repeat=2)
-    ]
-    return np.stack(cols, axis=1)
+def packed_bits(margins: np.ndarray) -> np.ndarray:
+    """Rows of 64-bit words: a bit is set where the margin is above zero."""
+    return np.packbits(margins > 0, axis=1, bitorder="little").view(np.int64)
 
 
-def _words64(margins: np.ndarray) -> np.ndarray:
-    packed = np.packbits(margins > 0, axis=1, bitorder="little")
-    wide = np.zeros((len(packed), -(-packed.shape[1] // 8) * 8), np.uint8)
-    wide[:, : packed.shape[1]] = packed
-    return wide.view(np.int64)
+def packed_indices(indices: np.ndarray) -> np.ndarray:
+    """Rows of segments x keep indices to rows of CODES words, twelve bits an index."""
+    flat = indices.reshape(len(indices), -1)
+    out = np.zeros((len(flat), CODES), np.int64)
+    for i in range(flat.shape[1]):
+        out[:, i // 5] |= flat[:, i] << (i % 5 * 12)
+    return out
+
 
+def _index(segment: int, choice: int) -> F.Column:
+    i = segment * CODEWORDS + choice
+    return F.shiftright(f"b{i // 5}", i % 5 * 12).bitwiseAND(F.lit(0xFFF))
 
-def seed_keys(indices: np.ndarray) -> np.ndarray:
-    """Keys of rows of segments x keep indices: the best codewords of segments 0 and 1, 2 and 3, and so on."""
-    best = indices[:, :, 0]
-    return np.stack([(i << 24) | (best[:, i] << 12) | best[:, i + 1] for i in range(0, best.shape[1] - 1, 2)], axis=1)
+
+def wide_keys(kinds: list[int], choices: int = CODEWORDS) -> list[F.Column]:
+    """The keys of these kinds over columns b0, b1, ...: two segments with each choice of their indices."""
+    return [
+        F.lit(no << 24).cast("long") + F.shiftleft(_index(KINDS[no][0], a), 12) + _index(KINDS[no][1], b)
+        for no in kinds
+        for a, b in product(range(choices), repeat=2)
+    ]
+
+
+def key_rounds() -> list[list[F.Column]]:
+    """The keys in the order in which they are joined: first a few that draw families together, then all kinds, some at
+    a time, so that what is in one group already makes no rows later."""
+    step = SEGMENTS // 2
+    return [wide_keys(list(range(step)), 1), *(wide_keys(list(range(i, i + step))) for i in range(0, len(KINDS), step))]
 
 
 def _ordered(x: str, y: str) -> list[F.Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _digest(c) -> F.Column:
+    return F.unhex(F.md5(F.coalesce(c, F.lit("")).cast("binary")))
+
+
+def _sketched(base: DataFrame, k: int) -> DataFrame:
+    """doc_id, digest, w0.. (fingerprint), b0.. (indices) for each row; texts without words have no fingerprint."""
+    ws, bs = [f"w{i}" for i in range(WORDS)], [f"b{i}" for i in range(CODES)]
+
+    def run(batches):
+        memo: dict[bytes, tuple] = {}  # only a cache: copies in one task are sketched once
+        for batch in batches:
+            texts = utf8(batch)
+            digests = [hashlib.md5(t).digest() for t in texts]
+            new = {d: t for d, t in zip(digests, texts, strict=True) if d not in memo}
+            some = {d: t for d, t in new.items() if t.split()}
+            if len(memo) > 20_000:
+                memo = {d: memo[d] for d in digests if d in memo}
+            memo.update((d, (None,) * (WORDS + CODES)) for d in new if d not in some)
+            if some:
+                m = np.stack([wide_margins(t, k) for t in some.values()])
+                rows = np.concatenate([packed_bits(m), packed_indices(soft_indices(m[:, : SEGMENTS * 23]))], axis=1).tolist()
+                memo.update(zip(some, rows, strict=True))
+            cols = list(zip(*(memo[d] for d in digests), strict=True)) or [()] * (WORDS + CODES)
+            arrays = [batch.column("doc_id"), pa.array(digests, pa.binary()), *(pa.array(c, pa.int64()) for c in cols)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "digest", *ws, *bs])
+
+    small_batches(base.sparkSession)
+    return base.mapInArrow(run, "doc_id long, digest binary, " + ", ".join(f"{c} long" for c in ws + bs))
+
+
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
-    """doc_id, keeper for each document that has an equal text or a near copy: rows of one keeper are one group, joined
-    by links of at least `similarity` on sets of k-word shingles; keeper is the smallest doc_id of the group.
-
-    Equal texts are one class (digest of the whole text), so copies are never expanded. Families of near copies are
-    drawn together first: members of a bucket meet its first member, on a few keys and then, while buckets would make
-    many pairs, on all. Then each two members of a bucket that are in different components meet, whatever the bucket's
-    size; so each pair that shares a key and differs in few enough bits is verified or in one group already. Texts
-    without words are grouped only if equal. Rows without doc_id are in no group."""
+    """doc_id, digest, keeper, keeper_digest for each document that has an equal text or a near copy: rows of one keeper
+    are one group, joined by links of at least `similarity` on sets of k-word shingles. The keeper is the group's
+    smallest doc_id, then digest (MD5 of the text, null as empty).
+
+    Equal texts are one class and one node, so copies are never expanded, and a doc_id that repeats with other texts is
+    as many nodes. Keys are joined some kinds at a time; what they link is contracted before the next. Members of
+    a crowded bucket meet its first member first; then each two members of a bucket that are in different components
+    meet, whatever the bucket's size. So each pair that shares a key and differs in few enough bits is verified or in
+    one group already. Texts without words are grouped only if equal. Rows without doc_id are in no group."""
     base = only(docs, doc_id="long", text="string").where("doc_id IS NOT NULL")
-    digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    members = written(base.select("doc_id", digest.alias("digest")))
-    classes = written(members.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
-    reps = base.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-
-    n_words = -(-SEGMENTS * 23 // 64)
-    ws = [f"w{i}" for i in range(n_words)]
-    fields = ", ".join(f"{w} long" for w in ws)
-
-    def sketch(b):
-        texts = utf8(b)
-        some = np.array([bool(t.split()) for t in texts], bool)
-        ids = b.column("doc_id").to_numpy(zero_copy_only=False)[some]
-        if not len(ids):
-            return {"id": ids, "best": []} | {w: ids for w in ws}
-        m = np.stack([wide_margins(t) if k == SHINGLE else wide_margins(t, k=k) for t, x in zip(texts, some, strict=True) if x])
-        w = _words64(m)
-        return {"id": ids, "best": list(soft_indices(m).reshape(len(m), -1))} | {x: w[:, i].copy() for i, x in enumerate(ws)}
-
-    def keyed(of):
-        """id, key for each key that of(rows of segments x keep indices) makes."""
-
-        def run(b):
-            best = np.array(b.column("best").to_pylist(), np.int64).reshape(b.num_rows, SEGMENTS, CODEWORDS)
-            ids, keys = _explode(b.column("id").to_numpy(zero_copy_only=False), of(best))
-            return {"id": ids, "key": keys}
-
-        return arrow_map(sketches.select("id", "best"), run, "id long, key long")
-
-    sketches = written(arrow_map(reps, sketch, f"id long, best array<int>, {fields}"))
-
-    def shared(rows: DataFrame) -> DataFrame:
-        """id, key of the buckets of two members or more. Both sides of the join are dealt by key once."""
-        dealt = rows.repartition("key")
-        return written(dealt.join(dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key").select("id", "key"))
+    ws, bs = [f"w{i}" for i in range(WORDS)], [f"b{i}" for i in range(CODES)]
+    members = written(_sketched(base, k))
+    grouped = members.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), *[F.max(c).alias(c) for c in ws + bs])
+    classes = written(grouped.withColumn("id", F.monotonically_increasing_id()))
+    sketches = classes.where("w0 IS NOT NULL").select("id", "rep", "digest", *ws, *bs)
+    members = written(members.select("doc_id", "digest"), replaces=members)
+
+    def near(x: str, y: str) -> F.Column:
+        """Whether the fingerprints of two rows differ in few enough bits."""
+        return sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in ws), F.lit(0)) <= int(BITS_APART * WORDS * 64)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those whose shingle sets are similar enough, from their whole texts."""
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = base.join(wanted, "doc_id", "left_semi")
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        wanted = written(sketches.select("id", "rep", "digest").join(ids, "id", "left_semi"))
+        n = wanted.count()
+        texts = base.join(bounded(wanted, n), (F.col("doc_id") == F.col("rep")) & (_digest(F.col("text")) == F.col("digest"))).select("id", "text")
 
         def sets(b):
-            return {"id": b.column("doc_id"), "s": [shingle_set(t, k).view(np.int64) for t in utf8(b)]}
+            return {"id": b.column("id"), "s": [shingle_set(t, k).view(np.int64) for t in utf8(b)]}
 
         shingles = written(arrow_map(texts, sets, "id long, s array<long>"))
-        both = (
-            pairs.join(shingles.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(shingles.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-        )
+        if shingles.count() > n:  # rows that repeat doc_id and text
+            shingles = written(shingles.dropDuplicates(["id"]), replaces=shingles)
+        # a text in very many pairs is dealt over several tasks
+        hot = written(pairs.groupBy("a").count().where(F.col("count") > SPLIT).select("a", F.ceil(F.col("count") / SPLIT).cast("int").alias("parts")))
+        deal = bounded(hot, hot.count())
+        part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"), F.lit(0))
+        left = pairs.join(deal, "a", "left").select("a", "b", part.alias("part"))
+        one = shingles.select(F.col("id").alias("a"), F.col("s").alias("sa")).join(deal, "a", "left")
+        one = one.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        both = left.join(one, ["a", "part"]).join(shingles.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
 
         def judge(b):
-            sa, sb = b.column("sa").to_pylist(), b.column("sb").to_pylist()
+            sa, sb = (b.column(c) for c in ("sa", "sb"))
             ok = np.zeros(b.num_rows, bool)
-            for i, (x, y) in enumerate(zip(sa, sb, strict=True)):
+            for i in range(b.num_rows):
+                x, y = sa[i].values.to_numpy(), sb[i].values.to_numpy()
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 ok[i] = common >= similarity * (len(x) + len(y) - common) - 1e-9
             return {"a": b.column("a"), "b": b.column("b"), "ok": ok}
 
         out = written(arrow_map(both, judge, "a long, b long, ok boolean").where("ok").select("a", "b"))
-        drop(shingles)
+        for t in (wanted, shingles, hot):
+            drop(t)
         return out
 
-    def near(x: str, y: str) -> F.Column:
-        """Whether the fingerprints of two rows differ in few enough bits."""
-        return sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in ws), F.lit(0)) <= int(BITS_APART * SEGMENTS * 23)
-
-    def opened(buckets: DataFrame, groups: DataFrame | None) -> DataFrame:
-        """key, id, c, bits, total, big of the buckets that hold several components: c the component, total the members
-        of the bucket, big whether c is the one that most of them are in."""
-        info = sketches.select("id", *ws)
-        c = F.col("id") if groups is None else F.coalesce("component", "id")
-        if groups is not None:
-            info = info.join(groups.withColumnRenamed("node", "id"), "id", "left")
-        rows = written(buckets.join(info.select("id", c.alias("c"), *ws), "id"))
-        parts = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("total"), F.max(F.struct("n", "c")).alias("most"), F.sum(F.col("n") * F.col("n")).alias("square"), F.count("*").alias("parts"))
-        several = parts.where("parts > 1").select("key", "total", F.col("most.c").alias("most"), ((F.col("total") * F.col("total") - F.col("square")) / F.lit(2) / F.col("total")).alias("pairs"))
-        out = written(rows.join(several, "key").select("key", "id", "c", *ws, "total", "pairs", (F.col("c") == F.col("most")).alias("big")))
+    def opened(keys: list[F.Column], groups: DataFrame | None) -> DataFrame | None:
+        """key, id, c, the fingerprint, total, pairs, big of the buckets that hold several components: c the component, total the
+        members of the bucket, big whether c is the one that most of them are in. None: there is no such bucket."""
+        info = sketches.drop("rep", "digest")
+        info = info.withColumn("c", F.col("id")) if groups is None else info.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
+        rows = info.select(F.explode(F.array(*keys)).alias("key"), "id", "c", *ws)
+        # partial sums a task: a bucket that all texts share is one row a task
+        several = written(rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
+        n = several.count()
+        if not n:
+            drop(several)
+            return None
+        rows = written(rows.join(bounded(several, n), "key"))
+        parts = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("total"), F.max(F.struct("n", "c")).alias("most"), F.sum(F.col("n") * F.col("n")).alias("square"))
+        parts = parts.select("key", "total", F.col("most.c").alias("most"), ((F.col("total") * F.col("total") - F.col("square")) / F.lit(2) / F.col("total")).alias("pairs"))
+        out = written(rows.join(parts, "key").select("key", "id", "c", *ws, "total", "pairs", (F.col("c") == F.col("most")).alias("big")))
         drop(rows)
+        drop(several)
         return out
 
     def first_met(rows: DataFrame, turn: int) -> DataFrame:
         """Pairs (a, b), a < b: members of a bucket with its first member, where that is of another component."""
         order = F.struct(F.lit(0).cast("long") if turn == 0 else F.xxhash64("id", "key", F.lit(turn)), F.col("id"))
         lead = rows.groupBy("key").agg(F.min_by(F.struct("id", "c", *ws), order).alias("l")).select("key", "l.*")
-        return rows.alias("x").join(lead.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & near("x", "y")).select(*_ordered("x.id", "y.id")).distinct()
+        met = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & near("x", "y")
+        return rows.alias("x").join(lead.alias("y"), met).select(*_ordered("x.id", "y.id")).distinct()
 
     def all_met(rows: DataFrame) -> DataFrame:
         """Pairs (a, b), a < b: all members of a bucket with all of its other components. One end of each is not of the
@@ -302,44 +358,72 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
         y = rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         same = (F.col("x.key") == F.col("y.key")) & (F.col("x.block") == F.col("y.block"))
         once = F.col("y.big") | (F.col("x.id") < F.col("y.id"))
-        return x.alias("x").join(y.alias("y"), same & (F.col("x.c") != F.col("y.c")) & once & near("x", "y")).select(*_ordered("x.id", "y.id")).distinct()
-
-    buckets, groups, links, tried, turn = shared(keyed(seed_keys)), None, None, None, 0
-    whole = False  # whether all keys are in and all pairs met
-    while not whole:
-        if turn == 1:  # families are drawn together: now all keys
-            drop(buckets)
-            buckets = shared(keyed(wide_keys))
-        rows = opened(buckets, groups)
-        if turn:
-            n, pairs = rows.agg(F.count("*"), F.coalesce(F.sum("pairs"), F.lit(0.0))).first()
-            whole = pairs <= MANY * n or turn > ROUNDS
-        found = all_met(rows) if whole else first_met(rows, turn)
-        pairs = written(found if tried is None else found.join(tried, ["a", "b"], "left_anti"))
-        new = verified(pairs)
-        tried = written(pairs if tried is None else tried.union(pairs), replaces=tried)
-        links = written(new if links is None else links.union(new), replaces=links)
-        groups = written(components(links), replaces=groups)
-        drop(rows)
-        turn += 1
-    of = classes.join(groups, classes["rep"] == groups["node"], "left").select("digest", F.coalesce("component", "rep").alias("keeper"), "n", F.col("component").isNotNull().alias("near"))
-    out = written(members.join(of.where("n > 1 OR near"), "digest").select("doc_id", "keeper"))
-    for t in (members, classes, sketches, buckets, groups, links, tried):
+        met = same & (F.col("x.c") != F.col("y.c")) & once & near("x", "y")
+        return x.alias("x").join(y.alias("y"), met).select(*_ordered("x.id", "y.id")).distinct()
+
+    groups, tried, rounds = None, None, key_rounds()
+    for keys in rounds:
+        # the first keys only draw families together: the kinds they are of come again, with all choices
+        seeds, whole, turn, helped = keys is rounds[0], False, 0, True
+        while not whole and (rows := opened(keys, groups)) is not None:
+            n, square = rows.agg(F.count("*"), F.sum("pairs")).first()
+            whole = seeds or square <= MANY * n or turn >= ROUNDS or not helped
+            found = first_met(rows, turn) if seeds or not whole else all_met(rows)
+            pairs = written(found if tried is None else found.join(tried, ["a", "b"], "left_anti"))
+            if met := pairs.count():
+                links = verified(pairs)
+                tried = written(pairs if tried is None else tried.union(pairs), replaces=tried)
+                helped = links.count() * 10 > met
+                groups = _contracted(links, groups)
+                drop(links)
+            drop(pairs)
+            drop(rows)
+            turn += 1
+    if groups is None:
+        of = classes.select("digest", "rep", "n", F.col("id").alias("g"), F.lit(False).alias("near"))
+    else:
+        of = classes.join(groups, classes["id"] == groups["node"], "left").select("digest", "rep", "n", F.coalesce("component", "id").alias("g"), F.col("component").isNotNull().alias("near"))
+    of = written(of.where("n > 1 OR near"))
+    keepers = of.groupBy("g").agg(F.min(F.struct("rep", "digest")).alias("k"))
+    named = written(of.join(keepers, "g").select("digest", F.col("k.rep").alias("keeper"), F.col("k.digest").alias("keeper_digest")))
+    out = written(members.join(bounded(named, named.count()), "digest").select("doc_id", "digest", "keeper", "keeper_digest"))
+    for t in (members, classes, groups, tried, of, named):
         drop(t)
     return out
 
 
+def _contracted(links: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """groups (node, component) with the nodes and components that links join made one; the old table goes."""
+    if groups is None:
+        return written(components(links))
+    of = groups.select("node", "component")
+    edges = links
+    for c in ("a", "b"):
+        edges = edges.join(of.select(F.col("node").alias(c), F.col("component").alias("_c")), c, "left").withColumn(c, F.coalesce("_c", c)).drop("_c")
+    joined = written(components(edges))
+    moved = of.join(joined.select(F.col("node").alias("component"), F.col("component").alias("_to")), "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    fresh = joined.join(of.select("node"), "node", "left_anti").select("node", "component")
+    out = written(moved.unionByName(fresh), replaces=groups)
+    drop(joined)
+    return out
+
+
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs without the members of near-copy groups other than one each: the smallest doc_id stays.
+    """docs without the members of near-copy groups other than one row each: the smallest doc_id (then digest) stays.
 
-    Rows without doc_id all stay. Of rows that repeat a doc_id, a group keeps one; others are left as they are."""
+    Rows without doc_id all stay. Rows that repeat a doc_id with other texts are told apart by their texts; of rows that
+    repeat a group's keeper whole, one stays."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
     groups = near_copies(docs, similarity)
-    gone = groups.where("doc_id <> keeper").select(F.col("doc_id").alias("_gw_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gw_gone"), "left_anti")
-    again = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_gw_again"))
-    if again.isEmpty():
+    lost = written(groups.where("doc_id <> keeper OR digest <> keeper_digest").select(F.col("doc_id").alias("_gw_id"), F.col("digest").alias("_gw_digest")).distinct())
+    mine = F.col("doc_id").cast("long"), _digest(F.col("text").cast("string"))
+    same = (mine[0] == F.col("_gw_id")) & (mine[1] == F.col("_gw_digest"))
+    kept = docs.select(*names).join(bounded(lost, lost.count()), same, "left_anti")
+    again = groups.where("doc_id = keeper AND digest = keeper_digest").groupBy("doc_id", "digest").count().where("count > 1")
+    again = written(again.select(F.col("doc_id").alias("_gw_id"), F.col("digest").alias("_gw_digest")))
+    n = again.count()
+    if not n:
         return kept
-    cols = kept.columns
-    twice = kept.join(again, F.col("doc_id").cast("long") == F.col("_gw_again"), "left_semi").dropDuplicates(["doc_id"])
-    once = kept.join(again, F.col("doc_id").cast("long") == F.col("_gw_again"), "left_anti")
-    return once.select(*cols).unionByName(twice.select(*cols))
+    once = kept.join(bounded(again, n), same, "left_anti")
+    twice = kept.join(bounded(again, n), same).dropDuplicates(["_gw_id", "_gw_digest"]).select(*names)
+    return once.select(*names).unionByName(twice)
