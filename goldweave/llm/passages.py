@@ -1,15 +1,15 @@
 """Substring dedup by unit hashing: passages that repeat across documents go, but for their earliest occurrence.
 
-Texts are cut into pieces of a few words, at sentence and line ends and where a hash of the words near by says so. So a
-passage has the same pieces wherever it stands, also where its sentences are few, long or joined with the host's words;
-only its first and last words depend on the host. A unit is two neighbouring pieces, as one of a few words repeats by
-chance. Units are normalised and digested; the earliest (doc_id, offset) of each digest is its keeper. Runs of
-neighbouring units whose keepers are elsewhere are removed when they hold MIN_RUN_WORDS words or more: a single common
-sentence is no repeated passage. Original offsets are kept for every removed run."""
+Units are lines of MIN_RUN_WORDS words or more and, so that a passage is found where it is only part of a line, pieces
+of lines: texts are cut at sentence and line ends and where a hash of the words near by says so. A passage has the same
+pieces wherever it stands, also where its sentences are few, long or joined with the host's words; only its first and
+last words depend on the host. A unit of pieces is two neighbouring ones, as one of a few words repeats by chance. Units
+are normalised and digested; the earliest (doc_id, offset) of each digest is its keeper. What later units cover is
+removed where it runs on for MIN_RUN_WORDS words or more: a single common sentence is no repeated passage. A text is
+cut once; its units carry their offsets, so texts are never shuffled."""
 
 from __future__ import annotations
 
-import hashlib
 import re
 from zlib import crc32
 
@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from .common import arrow_map, only, utf8, written
+from .common import BROADCAST_ROWS, arrow_map, only, utf8, written
 
 #: Words of a removed run at least. A passage of over 50 words may be cut into a line anywhere: its words up to the first
 #: cut that it shares with its copies, and those after the last one, are in units with others' words.
@@ -26,6 +27,9 @@ MIN_RUN_WORDS = 25
 #: Besides sentences, a piece begins at a word whose hash is the least of the NEAR words before and after it.
 NEAR = 3
 
+#: A unit found so often has its keeper broadcast.
+HOT = 2000
+
 #: A sentence ends after . ! ? (and closing quotes) before a blank, or at a line end.
 _STOP = re.compile(rb"[.!?][\"')\]]*(?=[ \t\r\x0b\x0c])|\n")
 
@@ -48,14 +52,15 @@ def _cuts(words: list[bytes]) -> np.ndarray:
     return np.flatnonzero(least)
 
 
-def units(text: bytes) -> list[tuple[int, int, int, bytes, int]]:
-    """(start, end, words, digest, words that are in the next unit too) of the units in byte offsets; normal form: ASCII
-    lower case, ASCII punctuation and blanks as one space. A unit ends with the signs that follow its last word; a text
-    of one piece is one unit."""
+def units(text: bytes, least: int = MIN_RUN_WORDS) -> list[tuple[int, int, int, int, int]]:
+    """(first word, last word + 1, start, end, digest) of the units, offsets in code points; normal form: ASCII lower
+    case, ASCII punctuation and blanks as one space. A unit ends with the signs that follow its last word; a text of
+    one piece is one unit."""
     plain = text.lower().translate(_NOISE)
     words = plain.split()
     if not words:
         return []
+    raw = np.frombuffer(text, np.uint8)
     inside = np.concatenate([[False], ~_BLANK[np.frombuffer(plain, np.uint8)], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
@@ -63,33 +68,44 @@ def units(text: bytes) -> list[tuple[int, int, int, bytes, int]]:
     begun[_cuts(words)] = True
     begun[np.searchsorted(starts, [m.start() for m in _STOP.finditer(text)])] = True
     begun[0], begun[-1] = True, True
-    cuts = np.flatnonzero(begun)
-    blank = np.append(np.flatnonzero(_BLANK[np.frombuffer(text, np.uint8)]), len(text))
-    end = np.minimum(blank[np.searchsorted(blank, ends[cuts[1:] - 1])], np.append(starts, len(text))[cuts[1:]]).tolist()
-    start, cuts = starts[cuts[:-1]].tolist(), cuts.tolist()
-    if len(start) == 1:
-        return [(start[0], end[0], len(words), _digest(words), 0)]
-    return [(start[i], end[i + 1], cuts[i + 2] - cuts[i], _digest(words[cuts[i] : cuts[i + 2]]), cuts[i + 2] - cuts[i + 1]) for i in range(len(start) - 1)]
-
+    blank = np.append(np.flatnonzero(_BLANK[raw]), len(text))
+    points = np.cumsum(np.append((raw & 0xC0) != 0x80, False)) if max(raw) >= 0x80 else None
 
-def _digest(words: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(words), digest_size=12).digest()
+    def placed(first: np.ndarray, last: np.ndarray) -> tuple[list[int], list[int]]:
+        """Offsets of words first to last - 1, with the signs that follow."""
+        at = starts[first]
+        end = np.minimum(blank[np.searchsorted(blank, ends[last - 1])], np.append(starts, len(text))[last])
+        if points is not None:
+            at, end = points[at] - 1, np.where(end > 0, points[end - 1], 0)
+        return at.tolist(), end.tolist()
 
-
-def runs(found: list[tuple[int, int, int, bytes, int]], repeated: dict[int, int], least: int = MIN_RUN_WORDS) -> list[tuple[int, int, int, int]]:
-    """(start, end, words, keeper's doc) of the runs to remove; repeated: number of a unit to its keeper's doc_id."""
-    out, i = [], 0
-    while i < len(found):
-        if i not in repeated:
-            i += 1
+    cuts = np.flatnonzero(begun)
+    one, two = (cuts[:-1], cuts[1:]) if len(cuts) == 2 else (cuts[:-2], cuts[2:])
+    out = [(f, e, x, y, _digest(words[f:e])) for f, e, x, y in zip(one.tolist(), two.tolist(), *placed(one, two), strict=True)]
+    # lines by their own words alone, wherever they stand
+    bounds = np.unique(np.concatenate([[0], np.searchsorted(starts, np.flatnonzero(raw == 10)), [len(words)]]))
+    long = np.flatnonzero(np.diff(bounds) >= least)
+    one, two = bounds[long], bounds[long + 1]
+    return out + [(f, e, x, y, _digest([b"\n", *words[f:e]])) for f, e, x, y in zip(one.tolist(), two.tolist(), *placed(one, two), strict=True)]
+
+
+def _digest(words: list[bytes]) -> int:
+    return xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+
+
+def runs(found: list[tuple[int, int, int, int, int]], least: int = MIN_RUN_WORDS) -> list[tuple[int, int, int, int]]:
+    """(start, end, words, keeper's doc) of what to remove, from a document's repeated units (first word, last word + 1,
+    start, end, keeper's doc): units that share words run on."""
+    out, run = [], None
+    for first, last, start, end, keeper in sorted(found):
+        if run and first < run[1]:
+            run = (run[0], max(run[1], last), run[2], max(run[3], end), min(run[4], keeper))
             continue
-        j = i
-        while j < len(found) and j in repeated:
-            j += 1
-        n = sum(x[2] for x in found[i:j]) - sum(x[4] for x in found[i : j - 1])
-        if n >= least:
-            out.append((found[i][0], found[j - 1][1], n, min(repeated[k] for k in range(i, j))))
-        i = j
+        if run and run[1] - run[0] >= least:
+            out.append((run[2], run[3], run[1] - run[0], run[4]))
+        run = (first, last, start, end, keeper)
+    if run and run[1] - run[0] >= least:
+        out.append((run[2], run[3], run[1] - run[0], run[4]))
     return out
 
 
@@ -102,32 +118,39 @@ def repeated_runs(docs: DataFrame, least: int = MIN_RUN_WORDS) -> DataFrame:
     base = only(docs, doc_id="long", text="string").where("doc_id IS NOT NULL")
 
     def cut(b):
-        ids, nos, digests = [], [], []
+        ids, cols = [], []
         for doc, text in zip(b.column("doc_id").to_pylist(), utf8(b), strict=True):
-            for no, (_, _, _, d, _) in enumerate(units(text)):
-                ids.append(doc)
-                nos.append(no)
-                digests.append(d)
-        return {"doc_id": pa.array(ids, pa.int64()), "no": nos, "digest": digests}
-
-    rows = arrow_map(base, cut, "doc_id long, no int, digest binary")
+            found = units(text, least)
+            ids += [doc] * len(found)
+            cols += found
+        first, last, start, end, digest = np.array(cols, np.int64).reshape(-1, 5).T
+        # offsets and lengths share a number: a unit lies within 2**31 words and code points
+        return {"doc_id": pa.array(ids, pa.int64()), "digest": digest, "at": first << 32 | start, "size": (last - first) << 32 | (end - start)}
+
+    rows = written(arrow_map(base, cut, "doc_id long, digest long, at long, size long"))
     # one partial sum a task and digest: a sentence that every document has is one row a task
-    firsts = rows.groupBy("digest").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    firsts = written(firsts.select("digest", F.col("first.doc_id").alias("keeper"), F.col("first.no").alias("keeper_no")))
-    later = rows.join(firsts, "digest").where("doc_id <> keeper OR no <> keeper_no")
-    found = written(later.groupBy("doc_id").agg(F.collect_list(F.struct("no", "keeper")).alias("hits")))  # a document's own units
-    held = base.join(found, "doc_id")
+    firsts = rows.groupBy("digest").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    firsts = written(firsts.select("digest", F.col("first.doc_id").alias("keeper"), F.col("first.at").alias("keeper_at"), "n"))
+    # units found in very many places are few, as each stands for so many rows: they are told by broadcast, so that the
+    # join by digest has no hot key
+    total = firsts.agg(F.sum("n")).first()[0] or 0
+    least_hot = max(HOT, -(-total // BROADCAST_ROWS))
+    hot = firsts.where(F.col("n") >= least_hot)
+    few = rows.join(firsts.where(F.col("n") < least_hot), "digest")
+    later = few.unionByName(rows.join(F.broadcast(hot), "digest")) if total and not hot.isEmpty() else few
+    hits = later.where("doc_id <> keeper OR at <> keeper_at")
+    found = hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "size", "keeper")).alias("hits"))  # a document's own units
 
     def spans(b):
-        cols: list[list[int]] = [[], [], [], [], []]
-        for doc, text, hits in zip(b.column("doc_id").to_pylist(), utf8(b), b.column("hits").to_pylist(), strict=True):
-            for start, end, n, keeper in runs(units(text), {h["no"]: h["keeper"] for h in hits}, least):
-                before = len(text[:start].decode("utf-8", "replace"))
-                for c, v in zip(cols, (doc, before, before + len(text[start:end].decode("utf-8", "replace")), n, keeper), strict=True):
-                    c.append(v)
-        return dict(zip(("doc_id", "start", "end", "n_words", "keeper_doc_id"), cols, strict=True))
-
-    return arrow_map(held, spans, "doc_id long, start long, end long, n_words long, keeper_doc_id long")
+        out = []
+        for doc, hits in zip(b.column("doc_id").to_pylist(), b.column("hits"), strict=True):
+            at, size, keeper = (hits.values.field(i).to_numpy() for i in range(3))
+            first, start = at >> 32, at & 0xFFFFFFFF
+            rows = zip(first.tolist(), (first + (size >> 32)).tolist(), start.tolist(), (start + (size & 0xFFFFFFFF)).tolist(), keeper.tolist(), strict=True)
+            out += [(doc, *x) for x in runs(list(rows), least)]
+        return dict(zip(("doc_id", "start", "end", "n_words", "keeper_doc_id"), map(list, zip(*out, strict=True)) if out else [[]] * 5, strict=True))
+
+    return arrow_map(found, spans, "doc_id long, start long, end long, n_words long, keeper_doc_id long")
 
 
 def without_repeated_runs(docs: DataFrame, least: int = MIN_RUN_WORDS) -> DataFrame:
