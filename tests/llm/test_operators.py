@@ -151,9 +151,13 @@ def test_repeated_lines_go_but_in_the_last_holder(spark, odd, none):
     assert lines.without_repeated_lines(none).isEmpty()
 
 
-def test_line_filters_lose_no_repeat(spark, monkeypatch):
-    """Even filters far too small for their keys give the exact result."""
+@pytest.mark.parametrize("bits,most", [(8, 250_000), (8, 10), (200, 250_000), (200, 0)])
+def test_line_filters_lose_no_repeat(spark, monkeypatch, bits, most):
+    """Full filters, several slices and the join beyond the broadcast give the exact result."""
     monkeypatch.setattr(lines, "MAX_BITS", lines.SEGMENT)
+    monkeypatch.setattr(lines, "BITS_PER_LINE", bits)
+    monkeypatch.setattr(lines, "BROADCAST_LINES", most)
+    assert lines.filter_bits(2400) == (lines.SEGMENT, 1 if bits == 8 else 8)
     rng = random.Random(3)
     pool = [f"a line of the pool that is long enough, number {i:05}" for i in range(400)]
     docs = {d: [rng.choice(pool) for _ in range(12)] for d in range(200)}
@@ -241,18 +245,52 @@ def test_passages_are_found_inside_lines(spark, odd, none):
     assert passages.without_repeated_runs(odd).count() == odd.count() and passages.repeated_runs(none).isEmpty()
 
 
-def test_passages_against_brute_force(spark, texts):
+@pytest.mark.parametrize("hot", [2000, 3])
+def test_passages_against_brute_force(spark, texts, monkeypatch, hot):
+    monkeypatch.setattr(passages, "HOT", hot)
     at = defaultdict(list)
     for d, t in texts.items():
-        for no, u in enumerate(passages.units(t.encode())):
-            at[u[3]].append((d, no))
+        for u in passages.units(t.encode()):
+            at[u[4]].append((d, u[0]))
     want = set()
     for d, t in texts.items():
-        found = passages.units(t.encode())
-        hits = {no: min(at[u[3]])[0] for no, u in enumerate(found) if min(at[u[3]]) != (d, no)}
-        want |= {(d, len(t.encode()[:s].decode()), n, k) for s, _, n, k in passages.runs(found, hits)}
-    got = {(r["doc_id"], r["start"], r["n_words"], r["keeper_doc_id"]) for r in passages.op7_substring_dedup(spark, SF).collect()}
-    assert got == want
+        gone = defaultdict(int)  # word to the smallest keeper of the units that cover it
+        later = [(u[0], u[1], min(at[u[4]])[0]) for u in passages.units(t.encode()) if min(at[u[4]]) != (d, u[0])]
+        # words of neighbours belong together if one unit holds both
+        joined = {i for f, e, _ in later for i in range(f, e - 1)}
+        for f, e, k in later:
+            for i in range(f, e):
+                gone[i] = min(gone.get(i, k), k)
+        words = sorted(gone)
+        i = 0
+        while i < len(words):
+            j = i
+            while words[j] in joined:
+                j += 1
+            if j - i + 1 >= passages.MIN_RUN_WORDS:
+                want.add((d, j - i + 1, min(gone[w] for w in words[i : j + 1])))
+            i = j + 1
+    got = {(r["doc_id"], r["n_words"], r["keeper_doc_id"]) for r in passages.op7_substring_dedup(spark, SF).collect()}
+    assert got == want and want
+
+
+def test_unit_offsets_are_of_code_points():
+    text = "é ü one two. three\nfour  fünf, six"
+    words = ["é", "ü", "one", "two", "three", "four", "fünf", "six"]
+    for first, last, start, end, _ in passages.units(text.encode(), 2):
+        cut = text[start:end]
+        assert [w.strip(".,") for w in cut.split()] == words[first:last]
+
+
+def test_repeated_lines_go_whole_but_the_earliest(spark):
+    rng = random.Random(3)
+    line = " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+    docs = [(d, f"intro {d} of its own\n{line}\noutro {d}") for d in (4, 2, 9)]
+    got = {r["doc_id"]: r for r in passages.without_repeated_runs(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[2]["text"] == dict(docs)[2] and all(line not in got[d]["text"] for d in (4, 9))
+    for d in (4, 9):
+        (r,) = got[d]["removed"]
+        assert dict(docs)[d][r["start"] : r["end"]] == line
 
 
 def test_passages_of_few_long_sentences_are_found():
@@ -265,9 +303,8 @@ def test_passages_of_few_long_sentences_are_found():
         sizes = [[53], [31, 22], [31, 6, 16]][k % 3]
         passage = ". ".join(words(n) for n in sizes)
         one, two = (f"{words(40)}. {words(9)} {passage} {words(7)}. {words(30)}.".encode() for _ in range(2))
-        seen = {u[3] for u in passages.units(one)}
-        found = passages.units(two)
-        runs = passages.runs(found, {i: 0 for i, u in enumerate(found) if u[3] in seen})
+        seen = {u[4] for u in passages.units(one)}
+        runs = passages.runs([(*u[:4], 0) for u in passages.units(two) if u[4] in seen])
         lost += not runs
         assert all(two[s:e].decode().strip(" .") in passage for s, e, _, _ in runs)
     assert lost <= 6
