@@ -81,9 +81,8 @@ def email(c: Column) -> Column:
 
 
 def phone(c: Column) -> Column:
-    """Digits, after a + if the value starts with one; null without digits is left to the dispatcher as empty."""
-    d = digits(c)
-    return F.when(strip(c).startswith("+") & (d != ""), F.concat(F.lit("+"), d)).otherwise(d)
+    """Digits, after a + if that comes before the first digit; without either, empty is left to the dispatcher."""
+    return F.concat(F.when(F.regexp_replace(c, "[^0-9+]", "").startswith("+"), "+").otherwise(""), digits(c))
 
 
 def postal_code(c: Column) -> Column:
@@ -91,11 +90,11 @@ def postal_code(c: Column) -> Column:
 
 
 def url(c: Column) -> Column:
-    """Without trailing slashes; scheme and host in lower case, the path as written."""
+    """Without trailing slashes; all up to the first slash after the scheme in lower case, the rest as written."""
     v = F.regexp_replace(collapse(c), "/+$", "")
     scheme = F.regexp_extract(v, r"^([A-Za-z][A-Za-z0-9+.-]*://)", 1)
     rest = F.substring(v, F.length(scheme) + 1, F.length(v))
-    host = F.regexp_extract(rest, r"^([^/?#]*)", 1)
+    host = F.regexp_extract(rest, r"^([^/]*)", 1)
     return F.concat(F.lower(scheme), F.lower(host), F.substring(rest, F.length(host) + 1, F.length(v)))
 
 

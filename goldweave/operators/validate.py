@@ -86,7 +86,7 @@ RULES: dict[str, tuple[Rule, ...]] = {
     ),
     "person_name": (
         Rule("name.length", ERROR, "too short for a name", lambda v, c: F.length(v) >= 2),
-        Rule("name.placeholder", WARNING, "a placeholder or a bare title", lambda v, c: ~F.regexp_replace(F.lower(text.strip(v)), r"\.+$", "").isin(*vocab.PLACEHOLDER_NAMES, *vocab.BARE_TITLES)),
+        Rule("name.placeholder", WARNING, "a placeholder or a bare title", lambda v, c: ~(F.lower(text.strip(v)).isin(*vocab.PLACEHOLDER_NAMES) | F.regexp_replace(F.lower(text.strip(v)), r"\.+$", "").isin(*vocab.BARE_TITLES))),
         Rule("name.shape", WARNING, "looks like another field", lambda v, c: ~(v.contains("@") | (F.length(text.digits(v)) >= 3))),
         Rule("full_name.completeness", WARNING, "one word only", lambda v, c: _only(c.canonical_field == "full_name", F.size(F.split(text.collapse(v), " ")) >= 2)),
     ),
@@ -94,7 +94,7 @@ RULES: dict[str, tuple[Rule, ...]] = {
         Rule("address.length", WARNING, "too short for an address", lambda v, c: F.length(v) >= 5),
         Rule("address.placeholder", WARNING, "a placeholder", lambda v, c: ~F.regexp_replace(F.lower(text.strip(v)), r"\.+$", "").isin(*vocab.PLACEHOLDER_ADDRESSES)),
         Rule("address.spacing", WARNING, "words run together", lambda v, c: ~F.exists(F.split(v, r"\s+"), lambda t: (F.length(t) >= 12) & t.rlike("[a-z][A-Z]"))),
-        Rule("address.drifted_field", WARNING, "an email or a link in the address", lambda v, c: ~((v.contains("@") & ~v.contains(" ")) | F.lower(v).rlike("^(https?://|www)"))),
+        Rule("address.drifted_field", WARNING, "an email or a link in the address", lambda v, c: ~((v.contains("@") & ~text.strip(v).contains(" ")) | F.lower(v).rlike(r"^(https?://|www\.)"))),
         Rule("address.street_number", INFO, "no number", lambda v, c: v.rlike("[0-9]")),
     ),
     "integer": (

@@ -218,12 +218,13 @@ def multi_value_split(spark, d):
     return _t(spark, d, "part").select("p_partkey", F.posexplode(text.split_values(cell, kind)).alias("value_index", "value"))
 
 
-@query(r"""SELECT o_orderkey, '+' || o_custkey || o_orderkey AS phone, lower(o_orderpriority) || '@x.com' AS email, CASE WHEN o_orderkey = 0 THEN '0' ELSE CAST(o_orderkey AS VARCHAR) END AS number, upper(o_orderpriority) AS postal, o_orderpriority AS identifier,
+@query(r"""SELECT o_orderkey, '+' || o_custkey || o_orderkey AS phone, '+44' || o_orderkey AS signed_phone, o_orderkey || '1' AS late_plus, 'x.com?q=a' || o_orderkey || '/B' AS bare_url, lower(o_orderpriority) || '@x.com' AS email, CASE WHEN o_orderkey = 0 THEN '0' ELSE CAST(o_orderkey AS VARCHAR) END AS number, upper(o_orderpriority) AS postal, o_orderpriority AS identifier,
 regexp_replace(o_orderpriority, '\s+', ' ', 'g') || ' a' AS address FROM orders""")
 def normalize_values(spark, d):
     k = F.col("o_orderkey").cast("string")
     return _t(spark, d, "orders").select(
-        "o_orderkey", text.phone(F.concat(F.lit(" +"), F.col("o_custkey").cast("string"), F.lit(" ("), k, F.lit(")"))).alias("phone"), text.email(F.concat(F.lit(" "), "o_orderpriority", F.lit("@X.COM "))).alias("email"),
+        "o_orderkey", text.phone(F.concat(F.lit(" +"), F.col("o_custkey").cast("string"), F.lit(" ("), k, F.lit(")"))).alias("phone"),
+        text.phone(F.concat(F.lit("tel: (+44) "), k)).alias("signed_phone"), text.phone(F.concat(k, F.lit(" +1"))).alias("late_plus"), text.url(F.concat(F.lit(" X.COM?Q=A"), k, F.lit("/B//"))).alias("bare_url"), text.email(F.concat(F.lit(" "), "o_orderpriority", F.lit("@X.COM "))).alias("email"),
         text.integer(F.concat(F.lit("00"), k, F.lit(" items"))).alias("number"), text.postal_code(F.concat(F.lower("o_orderpriority"), F.lit(" "))).alias("postal"), text.strip(F.concat(F.lit("\t"), "o_orderpriority", F.lit("\n"))).alias("identifier"),
         text.collapse(F.concat("o_orderpriority", F.lit(" \t a "))).alias("address"),
     )
@@ -288,10 +289,10 @@ def set_equality_arrays(spark, d):
 
 _RULE_VALUES = {
     "email": "CASE o_orderkey % 5 WHEN 0 THEN 'info@gmail.com' WHEN 1 THEN 'bad address' WHEN 2 THEN 'a.b@' || o_custkey || '.org' WHEN 3 THEN repeat('x', 70) || '@x.com' ELSE 'jane@corp.com' END",
-    "phone": "CASE o_orderkey % 5 WHEN 0 THEN '0000000000' WHEN 1 THEN '123' WHEN 2 THEN '+1555' || (1000000 + o_custkey) WHEN 3 THEN '12345678' ELSE '5551234567' END",
+    "phone": "CASE o_orderkey % 5 WHEN 0 THEN '0000000000' WHEN 1 THEN '123' WHEN 2 THEN '+1555' || (1000000 + o_custkey) WHEN 3 THEN '12345678' ELSE CASE o_custkey % 2 WHEN 0 THEN '5551234567 x12' ELSE '5551234567' END END",
     "url": "CASE o_orderkey % 5 WHEN 0 THEN 'https://u:p@x.com/a' WHEN 1 THEN 'not a host' WHEN 2 THEN 'x' || o_custkey || '.org' WHEN 3 THEN 'http://-bad.com' ELSE 'https://www.linkedin.com/in/x' END",
-    "person_name": "CASE o_orderkey % 5 WHEN 0 THEN 'Dr.' WHEN 1 THEN 'A' WHEN 2 THEN 'Test' WHEN 3 THEN 'Jane ' || (100 + o_custkey) ELSE 'Jane Doe2' END",
-    "address": "CASE o_orderkey % 5 WHEN 0 THEN 'See Above.' WHEN 1 THEN '1 A' WHEN 2 THEN 'MainStreetNorthEnd' || o_custkey WHEN 3 THEN 'a@b.com' ELSE '1 Main St' END",
+    "person_name": "CASE o_orderkey % 7 WHEN 0 THEN 'Dr.' WHEN 1 THEN 'A' WHEN 2 THEN 'Test' WHEN 5 THEN 'Test.' WHEN 6 THEN 'Mrs..' WHEN 3 THEN 'Jane ' || (100 + o_custkey) ELSE 'Jane Doe2' END",
+    "address": "CASE o_orderkey % 5 WHEN 0 THEN 'See Above.' WHEN 1 THEN '1 A' WHEN 2 THEN 'MainStreetNorthEnd' || o_custkey WHEN 3 THEN CASE o_custkey % 4 WHEN 0 THEN 'a@b.com' WHEN 1 THEN 'wwwilson street 4' WHEN 2 THEN 'WWW.x.org/1' ELSE 'http at b@c d' END ELSE '1 Main St' END",
     "integer": "CASE o_orderkey % 5 WHEN 0 THEN '0' WHEN 1 THEN '6000000' WHEN 2 THEN CAST(o_custkey AS VARCHAR) WHEN 3 THEN '12345678901234567890' ELSE '50' END",
     "postal_code": "CASE o_orderkey % 5 WHEN 0 THEN '501' WHEN 1 THEN '1' WHEN 2 THEN 'SW1A 1AA' WHEN 3 THEN 'A_B' ELSE '02134' END",
 }
@@ -307,18 +308,18 @@ _RULE_SQL = {
     "phone.digit_count": ("phone", "'error'", f"length({_DIGITS}) BETWEEN 7 AND 15", "true"),
     "phone.country_code": ("phone", "'warning'", "v LIKE '+%'", "true"),
     "phone.filler": ("phone", "'warning'", f"NOT (regexp_matches({_DIGITS}, '^(0+|1+|9+)$') OR (length({_DIGITS}) >= 7 AND (contains('0123456789', {_DIGITS}) OR contains('1234567890', {_DIGITS}) OR contains('9876543210', {_DIGITS}))))", f"{_DIGITS} <> ''"),
-    "phone.extension_merged": ("phone", "'warning'", "true", "true"),
+    "phone.extension_merged": ("phone", "'warning'", "NOT (lower(v) LIKE '% x%' OR lower(v) LIKE '%ext%')", "true"),
     "url.host": ("url", "'error'", rf"regexp_matches({_HOST}, '(?i)^[a-z0-9]([a-z0-9-]*[a-z0-9])?(\.[a-z0-9]([a-z0-9-]*[a-z0-9])?)+$')", "true"),
     "linkedin.host": ("url", "'warning'", "lower(v) LIKE '%linkedin.%'", "true"),
     "url.embedded_credentials": ("url", "'warning'", "v NOT LIKE '%:%@%'", "true"),
     "name.length": ("person_name", "'error'", "length(v) >= 2", "true"),
-    "name.placeholder": ("person_name", "'warning'", f"rtrim(lower(trim(v)), '.') NOT IN ({_list(vocab.PLACEHOLDER_NAMES + vocab.BARE_TITLES)})", "true"),
+    "name.placeholder": ("person_name", "'warning'", f"lower(trim(v)) NOT IN ({_list(vocab.PLACEHOLDER_NAMES)}) AND rtrim(lower(trim(v)), '.') NOT IN ({_list(vocab.BARE_TITLES)})", "true"),
     "name.shape": ("person_name", "'warning'", f"NOT (v LIKE '%@%' OR length({_DIGITS}) >= 3)", "true"),
     "full_name.completeness": ("person_name", "'warning'", "v LIKE '% %'", "true"),
     "address.length": ("address", "'warning'", "length(v) >= 5", "true"),
     "address.placeholder": ("address", "'warning'", f"rtrim(lower(trim(v)), '.') NOT IN ({_list(vocab.PLACEHOLDER_ADDRESSES)})", "true"),
     "address.spacing": ("address", "'warning'", "NOT (length(split_part(v, ' ', 1)) >= 12 AND regexp_matches(split_part(v, ' ', 1), '[a-z][A-Z]'))", "true"),
-    "address.drifted_field": ("address", "'warning'", "NOT ((v LIKE '%@%' AND v NOT LIKE '% %') OR regexp_matches(lower(v), '^(https?://|www)'))", "true"),
+    "address.drifted_field": ("address", "'warning'", "NOT ((contains(v, '@') AND NOT contains(trim(v), ' ')) OR starts_with(lower(v), 'http://') OR starts_with(lower(v), 'https://') OR starts_with(lower(v), 'www.'))", "true"),
     "address.street_number": ("address", "'info'", "regexp_matches(v, '[0-9]')", "true"),
     "integer.input": ("integer", "'warning'", "regexp_matches(v, '^[0-9]+$')", "true"),
     "employee_count.range": ("integer", "CASE WHEN v = '0' THEN 'warning' ELSE 'error' END", "CAST(v AS HUGEINT) BETWEEN 1 AND 5000000", "true"),
@@ -717,3 +718,5 @@ def website_golden(spark, d: str) -> DataFrame:
 
 
 flagship = website_golden
+
+from . import operator_queries  # noqa: E402, F401  registers its queries
