@@ -5,10 +5,13 @@ one threshold holds for all items. Posting lists longer than LONG are not walked
 a maximum for each word, and these maxima bound what the long lists can add. As in block-max WAND, an item is scored in
 full only if its short lists plus the bound of its block reach the threshold, or if long lists alone can bring it there
 and the bound of its block does. No passage is skipped and no item above the threshold is lost. Items that are retrieved
-are verified: enough of the question's and of the answer's word n-grams must stand in the passage."""
+are verified: enough of the question's and of the answer's word n-grams must stand in the passage.
+
+Document frequencies, mean length and the size of a passage are those of all items, whichever share an index."""
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from itertools import chain, repeat
@@ -18,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, only, utf8, written
+from .common import arrow_map, drop, only, utf8, written
 
 K1, B = 1.2, 0.75
 #: Share of its own score that an item must reach; share of question and answer n-grams that must be found; their words.
 THRESHOLD, OVERLAP, NGRAM = 0.5, 0.6, 4
-#: Words of half a passage, at least; passages overlap by half, so every item lies whole in one.
+#: Words of half a passage, at least; the longest item if that is longer. Passages overlap by half, so every item lies
+#: whole in one.
 HALF = 64
 #: Posting lists up to this length are walked; items of a block; items of one index (more items: one pass for each).
 LONG, BLOCK, INDEX_ITEMS = 6, 32, 4096
@@ -63,28 +67,41 @@ def share_found(words: list[bytes], passage: list[bytes]) -> float:
     return len(want & ngrams(passage, min(NGRAM, len(words)))) / len(want) if want else 1.0
 
 
+class Statistics:
+    """Of all items, however many indexes they are in: their number, mean and greatest length in words, and df, the
+    number of items that have a word, for the words of an index at least."""
+
+    def __init__(self, n: int, mean: float, longest: int, df: dict[bytes, int]):
+        self.n, self.mean, self.half, self.df = n, max(1.0, mean), max(HALF, longest), df
+
+    @classmethod
+    def of(cls, bags: list[Counter]) -> Statistics:
+        sizes = [b.total() for b in bags]
+        return cls(len(bags), sum(sizes) / max(1, len(bags)), max(sizes, default=0), Counter(w for b in bags for w in b))
+
+
 class Index:
-    """Inverted index of up to INDEX_ITEMS items."""
+    """Inverted index of up to INDEX_ITEMS items, weighed by the statistics of all (None: these are all)."""
 
-    def __init__(self, items: list[tuple[int, bytes]]):
+    def __init__(self, items: list[tuple[int, bytes]], statistics: Statistics | None = None):
         # items of like size share blocks, which keeps the blocks' maxima near their items'
         items = sorted(items, key=lambda x: (len(x[1]), x))
         bags = [Counter(plain(t)) for _, t in items]
         self.ids = np.array([i for i, _ in items], np.int64)
         self.parts = [question_answer(t) for _, t in items]
-        df = Counter(w for b in bags for w in b)
-        n, mean = len(items), max(1.0, sum(map(Counter.total, bags)) / max(1, len(items)))
-        self.half = max([HALF, *map(Counter.total, bags)])
+        every = statistics or Statistics.of(bags)
+        df, n, mean, self.half = every.df, every.n, every.mean, every.half
+        here = Counter(w for b in bags for w in b)  # lengths of the posting lists
         postings: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
         self.weights: list[dict[int, float]] = []
         # short lists first: a word's number tells whether its list is walked
-        order = sorted(df, key=lambda w: (df[w] > LONG, w))
+        order = sorted(here, key=lambda w: (here[w] > LONG, w))
         self.number = {w: i + 1 for i, w in enumerate(order)}
-        self.n_short = sum(df[w] <= LONG for w in order)
+        self.n_short = sum(here[w] <= LONG for w in order)
         for j, b in enumerate(bags):
             size = b.total()
             raw = {w: np.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * size / mean)) for w, f in b.items()}
-            whole = sum(raw.values()) or 1.0
+            whole = math.fsum(raw.values()) or 1.0
             self.weights.append({self.number[w]: x / whole for w, x in raw.items()})
             for w, x in raw.items():
                 postings[w].append((j, x / whole))
@@ -92,7 +109,7 @@ class Index:
         self.begin = np.cumsum([0, 0, *(len(postings[w]) for w in short)])  # by number; 0 is no word
         self.item = np.array([j for w in short for j, _ in postings[w]], np.int64)
         self.value = np.array([x for w in short for _, x in postings[w]])
-        blocks = -(-n // BLOCK) if n else 0
+        blocks = -(-len(items) // BLOCK)
         self.most = np.zeros((len(order) - self.n_short, blocks), np.float32)
         for i, w in enumerate(order[self.n_short :]):
             for j, x in postings[w]:
@@ -146,7 +163,7 @@ class Index:
         for q, j in sorted(wanted):
             if q != last:
                 last, have = q, set(t[slice(*np.searchsorted(p, [q, q + 1]))].tolist())
-            score = sum(x for w, x in self.weights[j].items() if w in have)
+            score = round(math.fsum(x for w, x in self.weights[j].items() if w in have), 9)
             if score >= threshold - 1e-9:
                 out.append((q, j, score))
         return first, out
@@ -170,19 +187,42 @@ class Index:
         return [(i, int(self.ids[j]), q, score, qs, as_) for (i, j), (score, qs, as_, q) in sorted(best.items())]
 
 
+def item_statistics(items: DataFrame) -> tuple[int, float, int, DataFrame]:
+    """Number, mean and greatest length of the items(no, item_id, text), and the items with df: of each of their words
+    in how many items it is."""
+
+    def cut(b):
+        bags = [Counter(plain(t)) for t in utf8(b)]
+        return {"no": b.column("no"), "size": [x.total() for x in bags], "words": [list(x) for x in bags]}
+
+    cuts = written(arrow_map(items, cut, "no long, size long, words array<binary>"))
+    n, total, longest = cuts.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
+    one = cuts.select("no", F.explode("words").alias("word"))
+    # a common word has many items, so the join by word is of partial sums with rows that AQE splits; an item's own
+    # words are gathered
+    counts = one.groupBy("word").agg(F.count("*").alias("k"))
+    weighed = items.join(one.join(counts, "word").groupBy("no").agg(F.collect_list(F.struct("word", "k")).alias("df")), "no")
+    return n, total / max(1, n), longest, weighed
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, index_items: int = INDEX_ITEMS) -> DataFrame:
     """doc_id, item_id, passage, score, question_share, answer_share: a row for each document and verified item.
 
-    All documents are searched, for index_items items at a time; an index has a bounded size, the items any number.
+    All documents are searched, for index_items items at a time; an index has a bounded size, the items any number, and
+    scores don't depend on which items share one.
     Items without words match nothing; items or documents with null ids are left out; rows that repeat an item_id are
     items of their own, of which one row a document is reported. Empty tables: no rows."""
     schema = "doc_id long, item_id long, passage int, score double, question_share double, answer_share double"
     spark = docs.sparkSession
     base = only(docs, doc_id="long", text="string").where("doc_id IS NOT NULL")
     items = only(benchmark, item_id="long", text="string").where(r"item_id IS NOT NULL AND text rlike '[^\\x20\\x09-\\x0D]'")
-    out, held = [], []
+    items = written(items.withColumn("no", F.monotonically_increasing_id()))
+    n, mean, longest, weighed = item_statistics(items)
+    out, held, df = [], [], {}
+
+    def search() -> DataFrame:
+        shared = spark.sparkContext.broadcast(Index(held, Statistics(n, mean, longest, df)))
 
-    def search(shared):
         def run(b):
             index = shared.value
             ids = b.column("doc_id").to_pylist()
@@ -190,15 +230,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, index_items: int = INDEX
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             return dict(zip(("doc_id", "item_id", "passage", "score", "question_share", "answer_share"), map(list, cols), strict=True))
 
-        return arrow_map(base, run, schema)
+        found = written(arrow_map(base, run, schema))
+        shared.destroy()  # the driver holds one index at a time
+        return found
 
-    for r in items.orderBy("item_id", "text").toLocalIterator():
+    for r in weighed.orderBy("item_id", "text", "no").toLocalIterator():
         held.append((r["item_id"], r["text"].encode()))
+        df |= {bytes(w): k for w, k in r["df"]}
         if len(held) == index_items:
-            out.append(search(spark.sparkContext.broadcast(Index(held))))
-            held = []
+            out.append(search())
+            held, df = [], {}
     if held or not out:
-        out.append(search(spark.sparkContext.broadcast(Index(held))))
+        out.append(search())
+    drop(items)
     found = out[0]
     for x in out[1:]:
         found = found.unionByName(x)
