@@ -2,30 +2,38 @@
 
 A text is brought to a canonical form (lower case, copyright lines out, equivalent spellings made one, punctuation and
 blanks to single spaces), digested, and joined with the digests of known licences in the same form. Whole texts are
-looked up; the lines of a text are looked up too, for documents that carry a licence notice among other text."""
+looked up; the lines of a text are looked up too, for documents that carry a licence notice among other text. A line is
+digested if its canonical form is as long as one of the known notices, which is no restriction."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .license_texts import KNOWN, SPELLINGS
-
-#: Characters that a line notice has at most; longer lines are no notices (the longest known one has under 400).
-NOTICE_CHARS = 1000
+from .license_texts import DIGESTS, KNOWN, SPELLINGS
 
 
-def canonical(c) -> F.Column:
-    """The canonical form of a text; null as empty. Regular expressions are ASCII, as are the letters lowered."""
+def _flat(c) -> F.Column:
+    """Lower case, copyright lines out, signs as spaces; line ends stay. Regular expressions are ASCII, as are the
+    letters lowered."""
     low = F.translate(F.coalesce(c, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     # whole lines that only state a copyright, and the line "all rights reserved"
     out = F.regexp_replace(low, r"(^|\n)[ \t\r*#/;-]*(copyright|\(c\)|©)[^\n]*", "\n")
     out = F.regexp_replace(out, r"(^|\n)[ \t\r*#/;-]*all rights reserved[ \t\r.]*", "\n")
-    out = F.regexp_replace(out, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+|[‘’“”«»–—…]", " ")
-    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, " +", " ")), F.lit(" "))
-    for one, other in SPELLINGS:
-        out = F.replace(out, F.lit(f" {one} "), F.lit(f" {other} "))
-    return F.trim(out)
+    return F.regexp_replace(out, r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F‘’“”«»–—…]+", " ")
+
+
+def _spelled(c) -> F.Column:
+    """One spelling of each word, between spaces. Few texts have any that changes: the others cost one search."""
+    replaced = reduce(lambda x, e: F.replace(x, F.lit(f" {e[0]} "), F.lit(f" {e[1]} ")), SPELLINGS, c)
+    return F.when(c.rlike(" (?:" + "|".join(one for one, _ in SPELLINGS) + ") "), replaced).otherwise(c)
+
+
+def canonical(c) -> F.Column:
+    """The canonical form of a text; null as empty."""
+    return F.trim(_spelled(F.concat(F.lit(" "), F.trim(F.regexp_replace(_flat(c), "[ \n]+", " ")), F.lit(" "))))
 
 
 def digest(c) -> F.Column:
@@ -33,9 +41,12 @@ def digest(c) -> F.Column:
 
 
 def known(spark, scope: str) -> DataFrame:
-    """digest, license_id of the known texts (scope 'text') or notices ('notice'). As many rows as the list has."""
+    """digest, license_id, chars of the known texts (scope 'text') or notices ('notice'). As many rows as the list has."""
     rows = [(i, t) for i, kind, t in KNOWN if scope == "text" or kind == "notice"]
-    return spark.createDataFrame(rows, "license_id string, t string").groupBy(digest(F.col("t")).alias("digest")).agg(F.min("license_id").alias("license_id"))
+    found = spark.createDataFrame(rows, "license_id string, t string").select(digest(F.col("t")).alias("digest"), "license_id", F.length(canonical(F.col("t"))).alias("chars"))
+    if scope == "text":
+        found = found.unionByName(spark.createDataFrame([(d, i, 0) for i, d in DIGESTS], "digest string, license_id string, chars int"))
+    return found.groupBy("digest").agg(F.min("license_id").alias("license_id"), F.max("chars").alias("chars"))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -43,16 +54,19 @@ def scanned(docs: DataFrame) -> DataFrame:
 
     Null and empty texts share the digest of an empty text and match nothing. Other columns play no part."""
     spark = docs.sparkSession
-    texts = F.broadcast(known(spark, "text"))
+    texts = F.broadcast(known(spark, "text").select("digest", "license_id"))
     notices = known(spark, "notice").orderBy("digest").collect()  # a row for each notice of the list
     table = F.create_map(*[F.lit(x) for r in notices for x in (r["digest"], r["license_id"])])
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # notices: few lines name a licence; the others cost one search each. A map of the known digests stands for the join
-    # of exploded lines, so a document stays one row and nothing is shuffled.
-    candidates = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike("(?i)licen[cs]e|permission is hereby|public domain"))
-    found = F.array_sort(F.array_distinct(F.filter(F.transform(candidates, lambda x: F.element_at(table, digest(x))), lambda x: x.isNotNull())))
+    lengths = sorted({r["chars"] for r in notices})
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _flat(F.col("text").cast("string")).alias("flat"))
+    # a map of the known digests stands for the join of exploded lines, so a document stays one row and nothing is
+    # shuffled; the flat form serves the whole text and its lines
+    lines = F.transform(F.split(_spelled(F.concat(F.lit(" "), F.regexp_replace("flat", r" *\n *", " \n "), F.lit(" "))), "\n"), lambda x: F.trim(x))
+    candidates = F.filter(lines, lambda x: F.length(x).isin(lengths))
+    found = F.array_sort(F.array_distinct(F.filter(F.transform(candidates, lambda x: F.element_at(table, F.sha2(x.cast("binary"), 256))), lambda x: x.isNotNull())))
+    whole = F.trim(_spelled(F.concat(F.lit(" "), F.trim(F.regexp_replace("flat", "[ \n]+", " ")), F.lit(" "))))
     return (
-        base.select("doc_id", digest(F.col("text")).alias("text_digest"), found.alias("notices"))
+        base.select("doc_id", F.sha2(whole.cast("binary"), 256).alias("text_digest"), found.alias("notices"))
         .join(texts, F.col("text_digest") == F.col("digest"), "left")
         .select("doc_id", "text_digest", "license_id", "notices")
     )
@@ -80,11 +94,15 @@ def _known_sql() -> str:
     return ", ".join(f"({quoted(i)}, {quoted(kind)}, {quoted(t)})" for i, kind, t in KNOWN)
 
 
+def _digests_sql() -> str:
+    return ", ".join(f"('{i}', '{d}')" for i, d in DIGESTS)
+
+
 OP1_SQL = f"""
 WITH k AS (
   SELECT id, kind, sha256({_canonical_sql("t")}) AS digest FROM (VALUES {_known_sql()}) v(id, kind, t)
 ), whole AS (
-  SELECT digest, min(id) AS license_id FROM k GROUP BY digest
+  SELECT digest, min(id) AS license_id FROM (SELECT id, digest FROM k UNION ALL SELECT * FROM (VALUES {_digests_sql()}) w(id, digest)) GROUP BY digest
 ), notice AS (
   SELECT digest, min(id) AS license_id FROM k WHERE kind = 'notice' GROUP BY digest
 ), d AS (
@@ -93,7 +111,6 @@ WITH k AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents
 ), f AS (
   SELECT DISTINCT doc_id, license_id FROM l JOIN notice ON sha256({_canonical_sql("line")}) = digest
-  WHERE length(line) <= {NOTICE_CHARS} AND regexp_matches(line, '(?i)licen[cs]e|permission is hereby|public domain')
 ), n AS (
   SELECT doc_id, string_agg(license_id, ',' ORDER BY license_id) AS notices FROM f GROUP BY doc_id
 )

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -71,6 +72,35 @@ def test_licence_forms_agree(spark, odd, none):
     assert licenses.scanned(none).isEmpty()
 
 
+def test_whole_licences_match_sql(spark, tmp_path):
+    """Whole texts, notices among prose, long padded notices and odd rows: Spark and SQL give the same, and matches."""
+    texts = [t for _, k, t in licenses.KNOWN]
+    rows = [*texts, *(re.sub(r"\bLICENSE\b", "LICENCE", t.upper()) for t in texts), *(f"intro\n  -- {t} --  \nend" for t in texts), "x\n" + "*" * 2000 + " Released under the MIT Licence. " + "*" * 2000, "Released under\nthe MIT License.", None, "", "copyright 2020\nall rights reserved."]
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    ours = licenses.op1_license_scan(spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    theirs = con.execute(licenses.OP1_SQL).df()
+    flat = lambda df: sorted(map(repr, df[sorted(ours.columns)].astype(object).where(df[sorted(ours.columns)].notna(), None).values.tolist()))
+    assert flat(ours) == flat(theirs)
+    got = ours.set_index("doc_id")
+    assert all(got.license_id[i] == licenses.KNOWN[i % len(texts)][0] for i in range(2 * len(texts)))
+    assert got.notices[3 * len(texts)] == "MIT" and got.notices[3 * len(texts) + 1] == ""
+
+
+def test_long_licences_are_known_by_digest(spark):
+    """Where the system holds the published texts, they match, in other spelling and case too."""
+    import pathlib
+
+    paths = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    found = {i: p.read_text(errors="replace") for i, f in paths.items() if (p := pathlib.Path("/usr/share/common-licenses") / f).exists()}
+    if not found:
+        pytest.skip("no published texts on this system")
+    rows = [(i, t) for i, t in found.items()] + [(i, t.upper().replace(",", " ;")) for i, t in found.items()]
+    out = licenses.scanned(spark.createDataFrame([(n, t) for n, (_, t) in enumerate(rows)], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["license_id"] for r in out} == {n: i for n, (i, _) in enumerate(rows)}
+
+
 # --- 2 ---
 
 
