@@ -61,12 +61,14 @@ def scanned(docs: DataFrame) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _flat(F.col("text").cast("string")).alias("flat"))
     # a map of the known digests stands for the join of exploded lines, so a document stays one row and nothing is
     # shuffled; the flat form serves the whole text and its lines
-    lines = F.transform(F.split(_spelled(F.concat(F.lit(" "), F.regexp_replace("flat", r" *\n *", " \n "), F.lit(" "))), "\n"), lambda x: F.trim(x))
+    # (each step is a column of its own, so that none is worked out twice)
+    spaced = base.select("doc_id", F.concat(F.lit(" "), F.regexp_replace("flat", r" *\n *", " \n "), F.lit(" ")).alias("l"), F.concat(F.lit(" "), F.trim(F.regexp_replace("flat", "[ \n]+", " ")), F.lit(" ")).alias("w"))
+    spelled = spaced.select("doc_id", _spelled(F.col("l")).alias("l"), F.trim(_spelled(F.col("w"))).alias("w"))
+    lines = F.transform(F.split("l", "\n"), lambda x: F.trim(x))
     candidates = F.filter(lines, lambda x: F.length(x).isin(lengths))
     found = F.array_sort(F.array_distinct(F.filter(F.transform(candidates, lambda x: F.element_at(table, F.sha2(x.cast("binary"), 256))), lambda x: x.isNotNull())))
-    whole = F.trim(_spelled(F.concat(F.lit(" "), F.trim(F.regexp_replace("flat", "[ \n]+", " ")), F.lit(" "))))
     return (
-        base.select("doc_id", F.sha2(whole.cast("binary"), 256).alias("text_digest"), found.alias("notices"))
+        spelled.select("doc_id", F.sha2(F.col("w").cast("binary"), 256).alias("text_digest"), found.alias("notices"))
         .join(texts, F.col("text_digest") == F.col("digest"), "left")
         .select("doc_id", "text_digest", "license_id", "notices")
     )
