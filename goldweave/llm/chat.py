@@ -1,7 +1,8 @@
 """Chat formatting with Spark expressions only.
 
-A conversation's rows become one string. Turns are sorted structs; neighbours of one role are merged under one header;
-inside a merged block each turn after the first is introduced by NEXT, so the rows can be read back one by one.
+A conversation's rows become one string. Turns are sorted structs; the slice of turns between two changes of role is
+aggregated to one block under one header, in which each turn after the first is introduced by NEXT, so the rows can be
+read back one by one.
 Signs that open a control string ("<" and "[") and "&" are escaped inside roles and texts, as in XML, so that no text
 can contain a mark of this template or the control strings of others (</s>, [INST], <|...|>)."""
 
@@ -17,6 +18,8 @@ OPEN, HEADER_END, NEXT, CLOSE = "<|turn|>", "<|text|>", "<|next|>", "<|end|>\n"
 #: Escapes, in the order in which they are made; undone in reverse.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lsqb;"))
 ASSISTANT = "assistant"
+#: Turns are added up in chunks of 2 to the power of this.
+CHUNK_BITS = 8
 
 
 def escaped(c) -> F.Column:
@@ -27,6 +30,12 @@ def unescaped(c) -> F.Column:
     return reduce(lambda x, e: F.replace(x, F.lit(e[1]), F.lit(e[0])), reversed(ESCAPES), c)
 
 
+def chunked(xs) -> F.Column:
+    """An array, not empty, as an array of chunks; elements are taken by place, as each slice copies the whole array."""
+    chunk = lambda c: F.sequence(F.shiftleft(c, CHUNK_BITS), F.least(F.shiftleft(c + 1, CHUNK_BITS), F.size(xs)) - 1)
+    return F.transform(F.sequence(F.lit(0), F.shiftright(F.size(xs) - 1, CHUNK_BITS)), lambda c: F.transform(chunk(c), lambda k: F.get(xs, k)))
+
+
 def formatted(conversations: DataFrame) -> DataFrame:
     """conv_id, formatted, loss_spans (array of start, length in code points, from 0) for each conversation.
 
@@ -39,48 +48,58 @@ def formatted(conversations: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    n = F.size("ts")
-    role_at = lambda i: F.element_at("ts", i).getField("role")  # noqa: E731  from 1
-    # each turn with whether it starts a block of its role, and whether it ends one
-    merged = F.transform(
-        "ts",
-        lambda t, i: F.struct(
-            t["role"].alias("role"),
-            escaped(t["text"]).alias("body"),
-            ((i == 0) | (F.when(i > 0, role_at(i)) != t["role"])).alias("first"),
-            ((i + 1 == n) | (F.when(i + 1 < n, role_at(i + 2)) != t["role"])).alias("last"),
+    # where a block of one role starts, from 1; what lies up to the next start is the block
+    start = lambda i: ~F.get("ts", i - 2).getField("role").eqNullSafe(F.get("ts", i - 1).getField("role"))
+    starts = F.filter(F.sequence(F.lit(1), F.size("ts")), start)
+    after = lambda i: F.coalesce(F.get("starts", i + 1), F.size("ts") + 1)
+    blocks = F.transform(
+        "starts",
+        lambda s, i: F.struct(
+            F.get("ts", s - 1).getField("role").alias("role"),
+            F.concat(F.lit(OPEN), escaped(F.get("ts", s - 1).getField("role")), F.lit(HEADER_END)).alias("head"),
+            F.transform(F.sequence(s, after(i) - 1), lambda k: escaped(F.get("ts", k - 1).getField("text"))).alias("bodies"),
         ),
     )
-    pieces = F.transform(
-        "merged",
-        lambda t, _: F.struct(
-            F.when(t["first"], F.concat(F.lit(OPEN), escaped(t["role"]), F.lit(HEADER_END))).otherwise(F.lit(NEXT)).alias("mark"),
-            t["body"].alias("body"),
-            F.when(t["last"], F.lit(CLOSE)).otherwise(F.lit("")).alias("end"),
-            (t["role"] == ASSISTANT).alias("loss"),
-        ),
+    # a block's turns become one; the blocks become the text
+    text = F.array_join(F.transform("blocks", lambda b: F.concat(b["head"], F.array_join(b["bodies"], NEXT), F.lit(CLOSE))), "")
+    # each turn's length, and the step from the end of the turn before it to its own end
+    closed = lambda i: F.when(i > 0, len(CLOSE)).otherwise(0)
+    lengths = F.flatten(
+        F.transform(
+            "blocks",
+            lambda b, i: F.transform(
+                b["bodies"],
+                lambda x, j: F.struct(
+                    (F.when(j == 0, F.length(b["head"]) + closed(i)).otherwise(len(NEXT)) + F.length(x)).alias("step"),
+                    F.length(x).alias("length"),
+                    (b["role"] == ASSISTANT).alias("loss"),
+                ),
+            ),
+        )
     )
-    text = F.array_join(F.transform("pieces", lambda p: F.concat(p["mark"], p["body"], p["end"])), "")
-    # starts: running lengths, from one aggregate over numbers alone
-    lengths = F.transform("pieces", lambda p: F.struct(F.length(p["mark"]).alias("m"), F.length(p["body"]).alias("b"), F.length(p["end"]).alias("e"), p["loss"].alias("loss")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    walk = F.aggregate(
-        "lengths",
-        start,
-        lambda acc, p: F.struct(
-            (acc["at"] + p["m"] + p["b"] + p["e"]).alias("at"),
-            F.when(
-                p["loss"] & (p["b"] > 0),
-                F.concat(acc["spans"], F.array(F.struct((acc["at"] + p["m"]).alias("start"), p["b"].alias("length")))),
-            ).otherwise(acc["spans"]).alias("spans"),
+    # ends are sums of steps: of whole chunks of turns first, then within a turn's chunk, so that long conversations
+    # don't add up all turns before each
+    total = lambda xs, get: F.aggregate(xs, F.lit(0), lambda acc, x: acc + get(x))
+    sums = F.transform("chunks", lambda xs: total(xs, lambda x: x["step"]))
+    bases = F.transform("sums", lambda _, c: total(F.slice("sums", F.lit(1), c), lambda x: x))
+    # a base reaches the inner function as a variable: a column there would be worked out again for every turn
+    spans = F.zip_with(
+        "chunks",
+        "bases",
+        lambda xs, base: F.transform(
+            xs,
+            lambda x, j: F.struct((base + total(F.slice(xs, F.lit(1), j + 1), lambda y: y["step"]) - x["length"]).alias("start"), x["length"].alias("length"), x["loss"].alias("loss")),
         ),
-        lambda acc: acc["spans"],
     )
+    masked = F.transform(F.filter(F.flatten(spans), lambda s: s["loss"] & (s["length"] > 0)), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
     return (
-        rows.withColumn("merged", merged)
-        .withColumn("pieces", pieces)
+        rows.withColumn("starts", starts)
+        .withColumn("blocks", blocks)
         .withColumn("lengths", lengths)
-        .select("conv_id", text.alias("formatted"), walk.alias("loss_spans"))
+        .withColumn("chunks", chunked(F.col("lengths")))
+        .withColumn("sums", sums)
+        .withColumn("bases", bases)
+        .select("conv_id", text.alias("formatted"), masked.alias("loss_spans"))
     )
 
 
@@ -97,8 +116,14 @@ def turns(c) -> F.Column:
 
 
 def loss_text(c, spans) -> F.Column:
-    """All text under the mask, unescaped, with nothing between."""
-    return unescaped(F.array_join(F.transform(spans, lambda s: F.substring(c, s["start"] + 1, s["length"])), ""))
+    """All text under the mask, unescaped, with nothing between. Spans are cut from the stretch that their chunk covers,
+    as a position in a string is found by counting from its start."""
+    spans = F.col(spans) if isinstance(spans, str) else spans
+    at = lambda s: F.get(s, F.lit(0))["start"]
+    upto = lambda s: F.element_at(s, -1)["start"] + F.element_at(s, -1)["length"]
+    stretches = F.transform(chunked(spans), lambda s: F.struct(s.alias("spans"), at(s).alias("at"), F.substring(c, at(s) + 1, upto(s) - at(s)).alias("text")))
+    cut = F.transform(stretches, lambda w: F.array_join(F.transform(w["spans"], lambda x: F.substring(w["text"], x["start"] - w["at"] + 1, x["length"])), ""))
+    return unescaped(F.when(F.size(spans) == 0, "").otherwise(F.array_join(cut, "")))
 
 
 def op5_chat_formatting(spark, sf_dir: str) -> DataFrame:

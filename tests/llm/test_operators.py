@@ -223,6 +223,23 @@ def test_chat_round_trip(spark):
     assert out.count() == len(by) and chat.formatted(df.where("false")).isEmpty()
 
 
+def test_long_conversation_and_clashing_columns(spark):
+    """More turns than a chunk holds, a very long text, and columns named as the operator's own: the mask is exact."""
+    n = 1500
+    df = spark.range(n).selectExpr(
+        "7L AS conv_id", "id AS turn", "CASE WHEN id % 3 = 0 THEN 'user' ELSE 'assistant' END AS role",
+        "CASE WHEN id = 700 THEN repeat('[é', 200000) WHEN id % 5 = 0 THEN '' ELSE concat('<', id) END AS text",
+        "'x' AS ts", "'x' AS blocks", "'x' AS lengths", "'x' AS chunks", "'x' AS starts", "'x' AS formatted", "'x' AS loss_spans",
+    )
+    r = chat.formatted(df).withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans"))).first()
+    said = ["[é" * 200000 if i == 700 else "" if i % 5 == 0 else f"<{i}" for i in range(n)]
+    assert r["loss"] == "".join(said[i] for i in range(n) if i % 3)
+    assert len(r["loss_spans"]) == sum(1 for i in range(n) if i % 3 and said[i])
+    assert r["formatted"].count(chat.OPEN) == n // 3 * 2
+    users = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
+    assert chat.formatted(users).withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans"))).first()["loss"] == ""
+
+
 # --- 6 ---
 
 
