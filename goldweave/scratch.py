@@ -17,6 +17,8 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _folders:
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if base is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="goldweave-")
         _folders[app] = f"{base.rstrip('/')}/goldweave-{app}"
         atexit.register(_forget, spark, _folders[app])

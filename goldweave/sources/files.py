@@ -115,8 +115,14 @@ def read_file(spark: SparkSession, path: str, sheet: str | None = None) -> tuple
 
 def file_facts(spark: SparkSession, path: str) -> tuple[str, int]:
     """(SHA-256 of the content, bytes): a file is its content, whatever its name."""
-    row = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256), "length").first()
-    return row[0], row[1]
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    # read as a stream, so a file of any size takes one buffer
+    content = store.open(where)
+    try:
+        return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(content), store.getFileStatus(where).getLen()
+    finally:
+        content.close()
 
 
 def sample_csv(rows: DataFrame, columns: list[str], n: int, out: str) -> None:

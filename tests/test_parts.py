@@ -142,3 +142,22 @@ def test_review_guards():
     for verb, status in (("release", "released"), ("release", "resolved"), ("reject", "resolved"), ("reopen", "open")):
         with pytest.raises(ValueError):
             quarantine.reviewed_status(verb, status)
+
+
+def test_file_facts_are_of_the_content(spark, tmp_path):
+    import hashlib
+
+    body = bytes(range(256)) * 5000
+    (tmp_path / "a b.csv").write_bytes(body)
+    assert files.file_facts(spark, f"file://{tmp_path}/a b.csv") == (hashlib.sha256(body).hexdigest(), len(body))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from goldweave import scratch
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    context = SimpleNamespace(applicationId="not local", master="spark://host:7077", getConf=lambda: conf)
+    with pytest.raises(RuntimeError):
+        scratch.shared_dir(SimpleNamespace(sparkContext=context, conf=conf))
