@@ -52,7 +52,7 @@ def written(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     return out
 
 
-def drop(df: DataFrame) -> None:
+def drop(df: DataFrame | None) -> None:
     """Delete the files of a table from written() that nothing reads any more."""
     if path := getattr(df, "_scratch_path", None):
         remove(df.sparkSession, path)

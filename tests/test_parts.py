@@ -115,7 +115,7 @@ def test_resolution_equals_one_record_at_a_time(spark, seed):
     assert got == want
 
 
-def test_components_and_tombstones(spark):
+def test_components_and_tombstones(spark, monkeypatch):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(80)]
     parent = {}
@@ -129,8 +129,11 @@ def test_components_and_tombstones(spark):
         if a != b:
             ra, rb = find(a), find(b)
             parent[max(ra, rb)] = min(ra, rb)
-    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: find(x) for e in edges for x in e if e[0] != e[1]}
+    want = {x: find(x) for e in edges for x in e if e[0] != e[1]}
+    for few in (graph.FEW, 0):  # in one task, and in distributed rounds
+        monkeypatch.setattr(graph, "FEW", few)
+        got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == want
     chain = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(17)], "entity_id string, merged_into_entity_id string")
     assert {r["survivor_id"] for r in merge.survivors(chain).collect()} == {"0"}
     with pytest.raises(ValueError):
