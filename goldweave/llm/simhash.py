@@ -210,9 +210,20 @@ def packed_indices(indices: np.ndarray) -> np.ndarray:
     return out
 
 
-def _index(segment: int, choice: int) -> F.Column:
+def _index(segment: int, choice: int, of: str = "") -> F.Column:
     i = segment * CODEWORDS + choice
-    return F.shiftright(f"b{i // 5}", i % 5 * 12).bitwiseAND(F.lit(0xFFF))
+    return F.shiftright(f"{of}b{i // 5}", i % 5 * 12).bitwiseAND(F.lit(0xFFF))
+
+
+def least_shared(kinds: list[int], choices: int, x: str, y: str) -> F.Column:
+    """The least of the keys of these kinds that two rows have in common; kinds are tried in turn, up to the first."""
+
+    def common(segment: int) -> F.Column:
+        mine, other = ([_index(segment, c, of) for c in range(choices)] for of in (x, y))
+        found = [F.when(m.isin(*other), m) for m in mine]
+        return F.least(*found) if choices > 1 else found[0]
+
+    return F.coalesce(*[F.lit(no << 24).cast("long") + F.shiftleft(common(KINDS[no][0]), 12) + common(KINDS[no][1]) for no in sorted(kinds)])
 
 
 def wide_keys(kinds: list[int], choices: int = CODEWORDS) -> list[F.Column]:
@@ -224,11 +235,11 @@ def wide_keys(kinds: list[int], choices: int = CODEWORDS) -> list[F.Column]:
     ]
 
 
-def key_rounds() -> list[list[F.Column]]:
-    """The keys in the order in which they are joined: first a few that draw families together, then all kinds, some at
-    a time, so that what is in one group already makes no rows later."""
+def key_rounds() -> list[tuple[list[int], int]]:
+    """Kinds and choices of the keys in the order in which they are joined: first a few that draw families together, then
+    all kinds, some at a time, so that what is in one group already makes no rows later."""
     step = SEGMENTS // 2
-    return [wide_keys(list(range(step)), 1), *(wide_keys(list(range(i, i + step))) for i in range(0, len(KINDS), step))]
+    return [(list(range(step)), 1), *((list(range(i, i + step)), CODEWORDS) for i in range(0, len(KINDS), step))]
 
 
 def _ordered(x: str, y: str) -> list[F.Column]:
@@ -282,32 +293,34 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
     classes = written(grouped.withColumn("id", F.monotonically_increasing_id()))
     sketches = classes.where("w0 IS NOT NULL").select("id", "rep", "digest", *ws, *bs)
     members = written(members.select("doc_id", "digest"), replaces=members)
+    # only rows that repeat the doc_id and text of their class make a text appear twice
+    repeats = not members.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
 
     def near(x: str, y: str) -> F.Column:
         """Whether the fingerprints of two rows differ in few enough bits."""
         return sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in ws), F.lit(0)) <= int(BITS_APART * WORDS * 64)
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Those whose shingle sets are similar enough, from their whole texts."""
+    def verified(pairs: DataFrame, n: int) -> DataFrame:
+        """Those of the n pairs whose shingle sets are similar enough, from their whole texts."""
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        wanted = written(sketches.select("id", "rep", "digest").join(ids, "id", "left_semi"))
-        n = wanted.count()
-        texts = base.join(bounded(wanted, n), (F.col("doc_id") == F.col("rep")) & (_digest(F.col("text")) == F.col("digest"))).select("id", "text")
+        wanted = sketches.select("id", "rep", "digest").join(bounded(ids, 2 * n), "id", "left_semi")
+        texts = base.join(bounded(wanted, 2 * n), (F.col("doc_id") == F.col("rep")) & (_digest(F.col("text")) == F.col("digest"))).select("id", "text")
 
         def sets(b):
             return {"id": b.column("id"), "s": [shingle_set(t, k).view(np.int64) for t in utf8(b)]}
 
         shingles = written(arrow_map(texts, sets, "id long, s array<long>"))
-        if shingles.count() > n:  # rows that repeat doc_id and text
+        if repeats:
             shingles = written(shingles.dropDuplicates(["id"]), replaces=shingles)
-        # a text in very many pairs is dealt over several tasks
-        hot = written(pairs.groupBy("a").count().where(F.col("count") > SPLIT).select("a", F.ceil(F.col("count") / SPLIT).cast("int").alias("parts")))
-        deal = bounded(hot, hot.count())
-        part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"), F.lit(0))
-        left = pairs.join(deal, "a", "left").select("a", "b", part.alias("part"))
-        one = shingles.select(F.col("id").alias("a"), F.col("s").alias("sa")).join(deal, "a", "left")
-        one = one.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-        both = left.join(one, ["a", "part"]).join(shingles.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
+        hot = None
+        left, one, on = pairs, shingles.select(F.col("id").alias("a"), F.col("s").alias("sa")), ["a"]
+        if n > SPLIT:  # a text in very many pairs is dealt over several tasks
+            hot = written(pairs.groupBy("a").count().where(F.col("count") > SPLIT).select("a", F.ceil(F.col("count") / SPLIT).cast("int").alias("parts")))
+            deal = bounded(hot, n // SPLIT)
+            part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"), F.lit(0))
+            left, on = pairs.join(deal, "a", "left").select("a", "b", part.alias("part")), ["a", "part"]
+            one = one.join(deal, "a", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        both = left.join(one, on).join(shingles.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
 
         def judge(b):
             sa, sb = (b.column(c) for c in ("sa", "sb"))
@@ -319,16 +332,16 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
             return {"a": b.column("a"), "b": b.column("b"), "ok": ok}
 
         out = written(arrow_map(both, judge, "a long, b long, ok boolean").where("ok").select("a", "b"))
-        for t in (wanted, shingles, hot):
+        for t in (shingles, hot):
             drop(t)
         return out
 
     def opened(keys: list[F.Column], groups: DataFrame | None) -> DataFrame | None:
-        """key, id, c, the fingerprint, total, pairs, big of the buckets that hold several components: c the component, total the
+        """key, id, c, the sketch, total, pairs, big of the buckets that hold several components: c the component, total the
         members of the bucket, big whether c is the one that most of them are in. None: there is no such bucket."""
         info = sketches.drop("rep", "digest")
         info = info.withColumn("c", F.col("id")) if groups is None else info.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-        rows = info.select(F.explode(F.array(*keys)).alias("key"), "id", "c", *ws)
+        rows = info.select(F.explode(F.array(*keys)).alias("key"), "id", "c", *ws, *bs)
         # partial sums a task: a bucket that all texts share is one row a task
         several = written(rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
         n = several.count()
@@ -338,7 +351,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
         rows = written(rows.join(bounded(several, n), "key"))
         parts = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("total"), F.max(F.struct("n", "c")).alias("most"), F.sum(F.col("n") * F.col("n")).alias("square"))
         parts = parts.select("key", "total", F.col("most.c").alias("most"), ((F.col("total") * F.col("total") - F.col("square")) / F.lit(2) / F.col("total")).alias("pairs"))
-        out = written(rows.join(parts, "key").select("key", "id", "c", *ws, "total", "pairs", (F.col("c") == F.col("most")).alias("big")))
+        out = written(rows.join(parts, "key").select("key", "id", "c", *ws, *bs, "total", "pairs", (F.col("c") == F.col("most")).alias("big")))
         drop(rows)
         drop(several)
         return out
@@ -350,28 +363,29 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
         met = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & near("x", "y")
         return rows.alias("x").join(lead.alias("y"), met).select(*_ordered("x.id", "y.id")).distinct()
 
-    def all_met(rows: DataFrame) -> DataFrame:
+    def all_met(rows: DataFrame, kinds: list[int], choices: int) -> DataFrame:
         """Pairs (a, b), a < b: all members of a bucket with all of its other components. One end of each is not of the
-        largest component, so that one's members never meet each other; large buckets are cut into blocks."""
+        largest component, so that one's members never meet each other; large buckets are cut into blocks. Two texts that
+        share several of the keys meet in the bucket of the least, so each pair is made once."""
         blocks = F.ceil(F.col("total") / BLOCK).cast("int")
         x = rows.where("NOT big").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
         y = rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         same = (F.col("x.key") == F.col("y.key")) & (F.col("x.block") == F.col("y.block"))
         once = F.col("y.big") | (F.col("x.id") < F.col("y.id"))
-        met = same & (F.col("x.c") != F.col("y.c")) & once & near("x", "y")
-        return x.alias("x").join(y.alias("y"), met).select(*_ordered("x.id", "y.id")).distinct()
+        met = same & (F.col("x.c") != F.col("y.c")) & once & near("x", "y") & (least_shared(kinds, choices, "x.", "y.") == F.col("x.key"))
+        return x.alias("x").join(y.alias("y"), met).select(*_ordered("x.id", "y.id"))
 
-    groups, tried, rounds = None, None, key_rounds()
-    for keys in rounds:
+    groups, tried = None, None
+    for no, (kinds, choices) in enumerate(key_rounds()):
         # the first keys only draw families together: the kinds they are of come again, with all choices
-        seeds, whole, turn, helped = keys is rounds[0], False, 0, True
-        while not whole and (rows := opened(keys, groups)) is not None:
+        seeds, whole, turn, helped = no == 0, False, 0, True
+        while not whole and (rows := opened(wide_keys(kinds, choices), groups)) is not None:
             n, square = rows.agg(F.count("*"), F.sum("pairs")).first()
             whole = seeds or square <= MANY * n or turn >= ROUNDS or not helped
-            found = first_met(rows, turn) if seeds or not whole else all_met(rows)
+            found = first_met(rows, turn) if seeds or not whole else all_met(rows, kinds, choices)
             pairs = written(found if tried is None else found.join(tried, ["a", "b"], "left_anti"))
             if met := pairs.count():
-                links = verified(pairs)
+                links = verified(pairs, met)
                 tried = written(pairs if tried is None else tried.union(pairs), replaces=tried)
                 helped = links.count() * 10 > met
                 groups = _contracted(links, groups)
