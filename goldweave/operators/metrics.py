@@ -48,7 +48,7 @@ def gauges(t: Tables, run_ts: Column) -> DataFrame:
         _gauge("records_awaiting_resolution", t["resolvable_record"].join(linked, "record_id", "left_anti"), n),
         _gauge("golden_values", state, n, "state"),
         _gauge("golden_contested", live.where("competing_values > 1"), n),
-        _gauge("golden_mean_confidence", live, F.avg("confidence"), "entity_type"),
+        _gauge("golden_mean_confidence", live, F.sum("confidence").cast("double") / F.count("confidence"), "entity_type"),  # an average of decimals is rounded at seven digits
         _gauge("golden_low_confidence", live.where("confidence < 0.5"), n),
     ]
     return reduce(DataFrame.unionByName, all_of)

@@ -24,3 +24,12 @@ def test_query_matches_sql(spark, name):
     ours = queries.QUERIES[name](spark, SF).toPandas()
     assert name in queries.ORACLE_SQL
     assert compared(ours) == compared(con.execute(queries.ORACLE_SQL[name]).df())
+
+
+def test_mean_confidence_is_rounded_once(spark):
+    # 217.58 / 833 = 0.26120048: at seven digits 0.2612005, and that at six digits 0.261201
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    assert compared(queries.QUERIES["gauges"](spark, sf).toPandas()) == compared(con.execute(queries.ORACLE_SQL["gauges"]).df())
