@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import few
+
 Tables = dict[str, DataFrame]
 
 
@@ -49,10 +51,10 @@ def contributions(t: Tables, entity_id: str | None = None, canonical_field: str
     out = (
         obs.join(own, ["record_id", "subject"])
         .join(t["raw_record"].select("record_id", "row_number", "source_record_id"), "record_id")
-        .join(F.broadcast(t["batch"].select("batch_id", "file_name", "source_schema_id")), "batch_id")
-        .join(F.broadcast(t["source"].select("source_id", "source_name", "reliability")), "source_id")
+        .join(few(t["batch"].select("batch_id", "file_name", "source_schema_id")), "batch_id")
+        .join(few(t["source"].select("source_id", "source_name", "reliability")), "source_id")
         .join(t["record_validation"].select("record_id", F.col("status").alias("validation_status")), "record_id", "left")
-        .join(F.broadcast(t["column_mapping"].select("source_schema_id", "source_column", "mapping_method", "mapping_confidence")), ["source_schema_id", "source_column"], "left")
+        .join(few(t["column_mapping"].select("source_schema_id", "source_column", "mapping_method", "mapping_confidence")), ["source_schema_id", "source_column"], "left")
     )
     return out.select("entity_id", "canonical_field", "source_name", "reliability", "file_name", "row_number", "source_record_id", "record_id", "observation_id", "source_column", "subject", "raw_value", "normalized_value", "validation_status", "mapping_method", "mapping_confidence")
 
@@ -75,7 +77,7 @@ def timeline(t: Tables, entity_id: str) -> DataFrame:
     """What happened to an entity: at, event, detail."""
     at = resolve_entity(t, entity_id)
     links = t["record_entity_link"].where(F.col("entity_id") == at)
-    raw = t["raw_record"].join(links.select("record_id").distinct(), "record_id", "left_semi").join(F.broadcast(t["batch"].select("batch_id", "file_name")), "batch_id")
+    raw = t["raw_record"].join(links.select("record_id").distinct(), "record_id", "left_semi").join(few(t["batch"].select("batch_id", "file_name")), "batch_id")
     gold = t["golden_attribute"].where(F.col("entity_id") == at)
     text = lambda *c: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in c])  # noqa: E731  null if any part is
     arm = lambda df, when, event, detail: df.select(F.col(when).alias("at"), F.lit(event).alias("event"), detail.alias("detail"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import few
 from . import golden
 
 Tables = dict[str, DataFrame]
@@ -163,7 +164,7 @@ def contribution_report(t: Tables) -> DataFrame:
     """Files, records and entities that each source brought; sources without any too."""
     done = t["batch"].where("status = 'completed'")
     files = done.groupBy("source_id").agg(F.countDistinct("batch_id").alias("files"))
-    records = t["raw_record"].join(F.broadcast(done.select("batch_id")), "batch_id", "left_semi")
+    records = t["raw_record"].join(few(done.select("batch_id")), "batch_id", "left_semi")
     counted = records.groupBy("source_id").agg(F.countDistinct("record_id").alias("records"))
     entities = records.select("record_id", "source_id").join(t["record_entity_link"].select("record_id", "entity_id"), "record_id").groupBy("source_id").agg(F.countDistinct("entity_id").alias("entities"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _folders: dict[str, str] = {}
 
@@ -56,3 +57,12 @@ def drop(df: DataFrame | None) -> None:
     """Delete the files of a table from written() that nothing reads any more."""
     if path := getattr(df, "_scratch_path", None):
         remove(df.sparkSession, path)
+
+
+#: Rows of a few columns that a table with no known bound may have to be broadcast; beyond it the join shuffles.
+FEW_ROWS = 100_000
+
+
+def few(df: DataFrame, rows: int = FEW_ROWS) -> DataFrame:
+    """df marked for broadcast if it has at most so many rows, which are counted up to that number first."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

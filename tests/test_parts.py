@@ -164,3 +164,21 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     context = SimpleNamespace(applicationId="not local", master="spark://host:7077", getConf=lambda: conf)
     with pytest.raises(RuntimeError):
         scratch.shared_dir(SimpleNamespace(sparkContext=context, conf=conf))
+
+
+def test_many_batches_are_not_broadcast(spark):
+    from goldweave.operators import lineage
+
+    def hints(batches):
+        one = spark.range(1)
+        t = {
+            "attribute_observation": one.selectExpr("id AS record_id", "'self' AS subject", "0 AS source_id", "id AS batch_id", "'c' AS source_column", "'x' AS canonical_field", "'' AS raw_value", "'' AS normalized_value", "id AS observation_id"),
+            "record_entity_link": one.selectExpr("id AS record_id", "'self' AS role", "'e' AS entity_id"), "raw_record": one.selectExpr("id AS record_id", "1 AS row_number", "'' AS source_record_id"),
+            "batch": spark.range(batches).selectExpr("id AS batch_id", "'f' AS file_name", "'s' AS source_schema_id"), "source": one.selectExpr("0 AS source_id", "'v' AS source_name", "1 AS reliability"),
+            "record_validation": one.selectExpr("id AS record_id", "'valid' AS status"), "column_mapping": one.selectExpr("'s' AS source_schema_id", "'c' AS source_column", "'m' AS mapping_method", "1 AS mapping_confidence"),
+        }
+        out = lineage.contributions(t)
+        assert out.count() == 1
+        return out._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+
+    assert (hints(10), hints(100_001)) == (3, 2)
