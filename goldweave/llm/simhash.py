@@ -9,15 +9,16 @@ that are joined; each pair that meets is verified):
   index of the next one; 33 bits or more, and some 16 keys a fingerprint.
 * near_copies(): five-word shingles with a Jaccard similarity of 0.8 or more. Such texts differ in some 15 % of the
   bits, so the fingerprint is longer (SEGMENTS times 23 bits) and each segment is decoded softly: a bit that the
-  shingles hardly decide counts less, and the two best codewords are kept. A key is a pair of segments near each other
-  with an index each, so the others may err; it is the same at every size. Where chance fills buckets, the bits that
-  differ decide which pairs of a bucket go on. Every one of these is verified on its whole shingle sets.
+  shingles hardly decide counts less, and the two best codewords are kept. A key is a segment with an index, so the
+  others may err, and the least values of two hashes of the shingles, which texts of similarity 0.8 share in 80 % each:
+  36 bits, so that chance fills few buckets; it is the same at every size. The bits that differ, and an odd sketch, which
+  bounds from below the shingles that differ, decide which pairs of a bucket go on. Every one of these is verified on its
+  whole shingle sets.
 """
 
 from __future__ import annotations
 
 import hashlib
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,6 @@ from .common import arrow_map, bounded, components, drop, only, small_batches, u
 NEAR_BITS, CUT = 2, (22, 21, 21)
 #: For near_copies: words of a shingle, least Jaccard similarity, 23-bit segments, codewords kept of each.
 SHINGLE, SIMILARITY, SEGMENTS, CODEWORDS = 5, 0.8, 16, 2
-#: near_copies: the segments of a key lie so far apart, on a ring.
-APART = (1, 2)
 #: near_copies: a pair is verified if at most this share of its bits differs. Pairs of similarity 0.8 differ in 15 % on
 #: average, of 1,024 bits, so 19.5 % is four standard deviations away; texts that merely share a passage differ in more.
 BITS_APART = 0.195
@@ -140,10 +139,13 @@ def linked(fps: DataFrame, bits: int = NEAR_BITS) -> DataFrame:
 
 # --- near copies: five-word shingles, Jaccard similarity of 0.8 or more ---
 
-#: Pairs of segments that make a key, some of each kind of distance first.
-KINDS = [(i, (i + d) % SEGMENTS) for d in APART for i in [*range(0, SEGMENTS, 2), *range(1, SEGMENTS, 2)]]
+#: First and last segment of a key, by its kind; a key has one segment.
+KINDS = [(i, i) for i in [*range(0, SEGMENTS, 2), *range(1, SEGMENTS, 2)]]
 #: 64-bit words of the fingerprint, of which the segments take the first bits, and of the codewords' indices, five a word.
 WORDS, CODES = 16, -(-SEGMENTS * CODEWORDS // 5)
+#: Least hashes, two for each kind of key; 64-bit words of them, five a word, and of the odd sketch.
+LEAST = 2 * len(KINDS)
+LEASTS, ODD = -(-LEAST // 5), 16
 
 
 def shingle_set(text: bytes, k: int = SHINGLE) -> np.ndarray:
@@ -170,9 +172,24 @@ def streams(h: np.ndarray, words: int = WORDS) -> np.ndarray:
 
 def wide_margins(text: bytes, k: int = SHINGLE) -> np.ndarray:
     """For each of the bits, by how many the distinct shingles that have it exceed those that don't."""
-    h = shingle_set(text, k)
-    counts = sum(bit_counts(streams(h[i : i + 16384])) for i in range(0, len(h), 16384))
-    return counts * 2 - len(h)
+    return _margins_and_least(shingle_set(text, k))[0]
+
+
+def _margins_and_least(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Margins of the bits, and twelve bits each of the least of all shingles' 32-bit hashes."""
+    counts, least = np.zeros(WORDS * 64, np.int64), np.full(LEAST, (1 << 32) - 1, np.uint32)
+    for i in range(0, len(h), 16384):
+        s = streams(h[i : i + 16384])
+        counts += bit_counts(s)
+        least = np.minimum(least, s.view(np.uint32).min(axis=0)[:LEAST])
+    return counts * 2 - len(h), (least & np.uint32(0xFFF)).astype(np.int64)
+
+
+def odd_sketch(h: np.ndarray) -> np.ndarray:
+    """Words of bits, each set if an odd number of the hashes fall on it: two sets differ in at least as many members as
+    their sketches in bits."""
+    at = (h * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(ODD * 64)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=ODD * 64) & 1 > 0, bitorder="little").view(np.int64)
 
 
 def _codebook() -> np.ndarray:
@@ -203,8 +220,11 @@ def packed_bits(margins: np.ndarray) -> np.ndarray:
 
 def packed_indices(indices: np.ndarray) -> np.ndarray:
     """Rows of segments x keep indices to rows of CODES words, twelve bits an index."""
-    flat = indices.reshape(len(indices), -1)
-    out = np.zeros((len(flat), CODES), np.int64)
+    return _packed(indices.reshape(len(indices), -1))
+
+
+def _packed(flat: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(flat), -(-flat.shape[1] // 5)), np.int64)
     for i in range(flat.shape[1]):
         out[:, i // 5] |= flat[:, i] << (i % 5 * 12)
     return out
@@ -215,7 +235,16 @@ def _index(segment: int, choice: int, of: str = "") -> F.Column:
     return F.shiftright(f"{of}b{i // 5}", i % 5 * 12).bitwiseAND(F.lit(0xFFF))
 
 
-def least_shared(kinds: list[int], choices: int, x: str, y: str) -> F.Column:
+def _least(kind: int, of: str = "") -> list[F.Column]:
+    return [F.shiftright(f"{of}m{i // 5}", i % 5 * 12).bitwiseAND(F.lit(0xFFF)) for i in (2 * kind, 2 * kind + 1)]
+
+
+def _key(kind: int, index: F.Column, least: bool, of: str = "") -> F.Column:
+    key = F.lit(kind << 12).cast("long") + index
+    return F.shiftleft(key, 24) + F.shiftleft(_least(kind, of)[0], 12) + _least(kind, of)[1] if least else key
+
+
+def least_shared(kinds: list[int], choices: int, x: str, y: str, least: bool = False) -> F.Column:
     """The least of the keys of these kinds that two rows have in common; kinds are tried in turn, up to the first."""
 
     def common(segment: int) -> F.Column:
@@ -223,16 +252,18 @@ def least_shared(kinds: list[int], choices: int, x: str, y: str) -> F.Column:
         found = [F.when(m.isin(*other), m) for m in mine]
         return F.least(*found) if choices > 1 else found[0]
 
-    return F.coalesce(*[F.lit(no << 24).cast("long") + F.shiftleft(common(KINDS[no][0]), 12) + common(KINDS[no][1]) for no in sorted(kinds)])
+    def shared(kind: int) -> F.Column:
+        key = _key(kind, common(KINDS[kind][0]), least, x)
+        (p, q), (r, s) = _least(kind, x), _least(kind, y)
+        return F.when((p == r) & (q == s), key) if least else key
 
+    return F.coalesce(*[shared(no) for no in sorted(kinds)])
 
-def wide_keys(kinds: list[int], choices: int = CODEWORDS) -> list[F.Column]:
-    """The keys of these kinds over columns b0, b1, ...: two segments with each choice of their indices."""
-    return [
-        F.lit(no << 24).cast("long") + F.shiftleft(_index(KINDS[no][0], a), 12) + _index(KINDS[no][1], b)
-        for no in kinds
-        for a, b in product(range(choices), repeat=2)
-    ]
+
+def wide_keys(kinds: list[int], choices: int = CODEWORDS, least: bool = False) -> list[F.Column]:
+    """The keys of these kinds over columns b0, b1, ...: a segment with each choice of its index; least: and the kind's
+    two least hashes, from columns m0, m1, ..."""
+    return [_key(no, _index(KINDS[no][0], c), least) for no in kinds for c in range(choices)]
 
 
 def key_rounds() -> list[tuple[list[int], int]]:
@@ -250,9 +281,18 @@ def _digest(c) -> F.Column:
     return F.unhex(F.md5(F.coalesce(c, F.lit("")).cast("binary")))
 
 
+#: Columns of a text's sketch: fingerprint, codewords' indices, least hashes, odd sketch, number of shingles.
+SKETCH = [*(f"{c}{i}" for c, n in (("w", WORDS), ("b", CODES), ("m", LEASTS), ("o", ODD)) for i in range(n)), "size"]
+
+
 def _sketched(base: DataFrame, k: int) -> DataFrame:
-    """doc_id, digest, w0.. (fingerprint), b0.. (indices) for each row; texts without words have no fingerprint."""
-    ws, bs = [f"w{i}" for i in range(WORDS)], [f"b{i}" for i in range(CODES)]
+    """doc_id, digest and SKETCH for each row; texts without words have no fingerprint."""
+
+    def sketch(texts):
+        sets = [shingle_set(t, k) for t in texts]
+        m, least = map(np.stack, zip(*map(_margins_and_least, sets), strict=True))
+        odd, size = np.stack([odd_sketch(h) for h in sets]), np.array([[len(h)] for h in sets], np.int64)
+        return np.concatenate([packed_bits(m), packed_indices(soft_indices(m[:, : SEGMENTS * 23])), _packed(least), odd, size], axis=1).tolist()
 
     def run(batches):
         memo: dict[bytes, tuple] = {}  # only a cache: copies in one task are sketched once
@@ -263,17 +303,15 @@ def _sketched(base: DataFrame, k: int) -> DataFrame:
             some = {d: t for d, t in new.items() if t.split()}
             if len(memo) > 20_000:
                 memo = {d: memo[d] for d in digests if d in memo}
-            memo.update((d, (None,) * (WORDS + CODES)) for d in new if d not in some)
+            memo.update((d, (None,) * len(SKETCH)) for d in new if d not in some)
             if some:
-                m = np.stack([wide_margins(t, k) for t in some.values()])
-                rows = np.concatenate([packed_bits(m), packed_indices(soft_indices(m[:, : SEGMENTS * 23]))], axis=1).tolist()
-                memo.update(zip(some, rows, strict=True))
-            cols = list(zip(*(memo[d] for d in digests), strict=True)) or [()] * (WORDS + CODES)
+                memo.update(zip(some, sketch(some.values()), strict=True))
+            cols = list(zip(*(memo[d] for d in digests), strict=True)) or [()] * len(SKETCH)
             arrays = [batch.column("doc_id"), pa.array(digests, pa.binary()), *(pa.array(c, pa.int64()) for c in cols)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "digest", *ws, *bs])
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "digest", *SKETCH])
 
     small_batches(base.sparkSession)
-    return base.mapInArrow(run, "doc_id long, digest binary, " + ", ".join(f"{c} long" for c in ws + bs))
+    return base.mapInArrow(run, "doc_id long, digest binary, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
@@ -287,18 +325,23 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
     meet, whatever the bucket's size. So each pair that shares a key and differs in few enough bits is verified or in
     one group already. Texts without words are grouped only if equal. Rows without doc_id are in no group."""
     base = only(docs, doc_id="long", text="string").where("doc_id IS NOT NULL")
-    ws, bs = [f"w{i}" for i in range(WORDS)], [f"b{i}" for i in range(CODES)]
     members = written(_sketched(base, k))
-    grouped = members.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), *[F.max(c).alias(c) for c in ws + bs])
+    grouped = members.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), *[F.max(c).alias(c) for c in SKETCH])
     classes = written(grouped.withColumn("id", F.monotonically_increasing_id()))
-    sketches = classes.where("w0 IS NOT NULL").select("id", "rep", "digest", *ws, *bs)
+    sketches = classes.where("w0 IS NOT NULL").select("id", "rep", "digest", *SKETCH)
     members = written(members.select("doc_id", "digest"), replaces=members)
     # only rows that repeat the doc_id and text of their class make a text appear twice
     repeats = not members.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
 
     def near(x: str, y: str) -> F.Column:
-        """Whether the fingerprints of two rows differ in few enough bits."""
-        return sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in ws), F.lit(0)) <= int(BITS_APART * WORDS * 64)
+        """Whether the fingerprints of two rows differ in few enough bits, and no fewer shingles than their odd sketches
+        differ in leave them similar enough: sets of a and b members have at most (a + b) (1 - s) / (1 + s) not in common."""
+
+        def apart(word: str, n: int) -> F.Column:
+            return sum((F.bit_count(F.col(f"{x}.{word}{i}").bitwiseXOR(F.col(f"{y}.{word}{i}"))) for i in range(n)), F.lit(0))
+
+        most = (F.col(f"{x}.size") + F.col(f"{y}.size")) * F.lit((1 - similarity) / (1 + similarity)) + F.lit(1e-6)
+        return (apart("w", WORDS) <= int(BITS_APART * WORDS * 64)) & (apart("o", ODD) <= most)
 
     def verified(pairs: DataFrame, n: int) -> DataFrame:
         """Those of the n pairs whose shingle sets are similar enough, from their whole texts."""
@@ -337,29 +380,41 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
         return out
 
     def opened(keys: list[F.Column], groups: DataFrame | None) -> DataFrame | None:
-        """key, id, c, the sketch, total, pairs, big of the buckets that hold several components: c the component, total the
-        members of the bucket, big whether c is the one that most of them are in. None: there is no such bucket."""
+        """key, id, c, the sketch, total, big of the buckets that hold several components: c the component, total the members
+        of the bucket, big whether c is the one that most of a large bucket are in. None: there is no such bucket."""
         info = sketches.drop("rep", "digest")
         info = info.withColumn("c", F.col("id")) if groups is None else info.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-        rows = info.select(F.explode(F.array(*keys)).alias("key"), "id", "c", *ws, *bs)
+        rows = info.select(F.explode(F.array(*keys)).alias("key"), "id", "c", *SKETCH)
         # partial sums a task: a bucket that all texts share is one row a task
-        several = written(rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
+        several = written(rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("total")).where("lo < hi").select("key", "total"))
         n = several.count()
         if not n:
             drop(several)
             return None
         rows = written(rows.join(bounded(several, n), "key"))
-        parts = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("total"), F.max(F.struct("n", "c")).alias("most"), F.sum(F.col("n") * F.col("n")).alias("square"))
-        parts = parts.select("key", "total", F.col("most.c").alias("most"), ((F.col("total") * F.col("total") - F.col("square")) / F.lit(2) / F.col("total")).alias("pairs"))
-        out = written(rows.join(parts, "key").select("key", "id", "c", *ws, *bs, "total", "pairs", (F.col("c") == F.col("most")).alias("big")))
+        # in a small bucket all members may meet as they are
+        crowd = rows.where(F.col("total") > 2 * MANY)
+        most = crowd.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "c"))["c"].alias("most"))
+        crowd = crowd.join(most, "key").withColumn("big", F.col("c") == F.col("most")).drop("most")
+        out = written(rows.where(F.col("total") <= 2 * MANY).withColumn("big", F.lit(False)).unionByName(crowd))
         drop(rows)
         drop(several)
         return out
 
+    def refreshed(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        """rows with the components as they are now; those that were big are of one component still."""
+        now = rows.drop("c").join(groups.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left")
+        return written(now.withColumn("c", F.coalesce("c", "id")), replaces=rows)
+
+    def crowding(rows: DataFrame) -> tuple[int, float]:
+        """Members of the buckets, and their pairs across components."""
+        parts = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.col("n")).alias("square"))
+        return parts.agg(F.sum("t"), F.sum(F.col("t") * F.col("t") - F.col("square")) / 2).first()
+
     def first_met(rows: DataFrame, turn: int) -> DataFrame:
         """Pairs (a, b), a < b: members of a bucket with its first member, where that is of another component."""
         order = F.struct(F.lit(0).cast("long") if turn == 0 else F.xxhash64("id", "key", F.lit(turn)), F.col("id"))
-        lead = rows.groupBy("key").agg(F.min_by(F.struct("id", "c", *ws), order).alias("l")).select("key", "l.*")
+        lead = rows.groupBy("key").agg(F.min_by(F.struct("id", "c", *SKETCH), order).alias("l")).select("key", "l.*")
         met = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & near("x", "y")
         return rows.alias("x").join(lead.alias("y"), met).select(*_ordered("x.id", "y.id")).distinct()
 
@@ -372,27 +427,32 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
         y = rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         same = (F.col("x.key") == F.col("y.key")) & (F.col("x.block") == F.col("y.block"))
         once = F.col("y.big") | (F.col("x.id") < F.col("y.id"))
-        met = same & (F.col("x.c") != F.col("y.c")) & once & near("x", "y") & (least_shared(kinds, choices, "x.", "y.") == F.col("x.key"))
+        met = same & (F.col("x.c") != F.col("y.c")) & once & near("x", "y") & (least_shared(kinds, choices, "x.", "y.", least=True) == F.col("x.key"))
         return x.alias("x").join(y.alias("y"), met).select(*_ordered("x.id", "y.id"))
 
     groups, tried = None, None
     for no, (kinds, choices) in enumerate(key_rounds()):
         # the first keys only draw families together: the kinds they are of come again, with all choices
         seeds, whole, turn, helped = no == 0, False, 0, True
-        while not whole and (rows := opened(wide_keys(kinds, choices), groups)) is not None:
-            n, square = rows.agg(F.count("*"), F.sum("pairs")).first()
+        if (rows := opened(wide_keys(kinds, choices, least=True), groups)) is None:
+            continue
+        while not whole:
+            n, square = crowding(rows)
             whole = seeds or square <= MANY * n or turn >= ROUNDS or not helped
             found = first_met(rows, turn) if seeds or not whole else all_met(rows, kinds, choices)
             pairs = written(found if tried is None else found.join(tried, ["a", "b"], "left_anti"))
+            helped = False
             if met := pairs.count():
                 links = verified(pairs, met)
                 tried = written(pairs if tried is None else tried.union(pairs), replaces=tried)
                 helped = links.count() * 10 > met
                 groups = _contracted(links, groups)
                 drop(links)
+                if not whole:
+                    rows = refreshed(rows, groups)
             drop(pairs)
-            drop(rows)
             turn += 1
+        drop(rows)
     if groups is None:
         of = classes.select("digest", "rep", "n", F.col("id").alias("g"), F.lit(False).alias("near"))
     else:

@@ -564,6 +564,37 @@ def test_near_pairs_share_a_key():
         assert found.mean() >= 0.99
 
 
+def _near_sets(rng, common, each):
+    h = rng.integers(0, 2**63, common + 2 * each, dtype=np.uint64)
+    return h[: common + each], np.concatenate([h[:common], h[common + each :]])
+
+
+def test_near_sets_share_a_whole_key_and_chance_pairs_do_not():
+    """Keys with least hashes, on drawn sets: found at 0.80; 3,000 unlike sets share so few that buckets stay empty."""
+    rng = np.random.default_rng(8)
+
+    def keys(sets):
+        m, least = zip(*map(simhash._margins_and_least, sets), strict=True)
+        codes = simhash.soft_indices(np.stack(m)[:, : simhash.SEGMENTS * 23])
+        return [{(no, c, v[2 * no], v[2 * no + 1]) for no, (i, _) in enumerate(simhash.KINDS) for c in row[i]} for row, v in zip(codes, least, strict=True)]
+
+    for common, each in ((8, 1), (56, 7), (264, 33)):
+        pairs = [_near_sets(rng, common, each) for _ in range(1000)]
+        x, y = (keys(side) for side in zip(*pairs, strict=True))
+        assert np.mean([bool(a & b) for a, b in zip(x, y, strict=True)]) >= 0.99
+    held = [k for s in keys([rng.integers(0, 2**63, 60, dtype=np.uint64) for _ in range(3000)]) for k in s]
+    assert len(held) == 3000 * 32 and len(held) - len(set(held)) < 10
+
+
+def test_odd_sketches_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(9)
+    for common, each in ((0, 1), (8, 1), (60, 20), (300, 90), (2000, 3000)):
+        a, b = _near_sets(rng, common, each)
+        differing = int(np.bitwise_count((simhash.odd_sketch(a) ^ simhash.odd_sketch(b)).view(np.uint64)).sum())
+        assert differing <= 2 * each
+        assert each > 90 or differing > 1.6 * each  # and few less, while the sets are small against the bits
+
+
 def test_least_shared_key(spark):
     rng = np.random.default_rng(6)
     codes = rng.integers(0, 3, (40, simhash.SEGMENTS, simhash.CODEWORDS))
