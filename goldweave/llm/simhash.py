@@ -139,12 +139,12 @@ def linked(fps: DataFrame, bits: int = NEAR_BITS) -> DataFrame:
 
 # --- near copies: five-word shingles, Jaccard similarity of 0.8 or more ---
 
-#: First and last segment of a key, by its kind; a key has one segment.
-KINDS = [(i, i) for i in [*range(0, SEGMENTS, 2), *range(1, SEGMENTS, 2)]]
+#: First and last segment of a key, by its kind; a key has one segment, and each is in two kinds.
+KINDS = [(i, i) for i in [*range(0, SEGMENTS, 2), *range(1, SEGMENTS, 2)]] * 2
 #: 64-bit words of the fingerprint, of which the segments take the first bits, and of the codewords' indices, five a word.
 WORDS, CODES = 16, -(-SEGMENTS * CODEWORDS // 5)
-#: Least hashes, two for each kind of key; 64-bit words of them, five a word, and of the odd sketch.
-LEAST = 2 * len(KINDS)
+#: Least hashes, of which a key has two; 64-bit words of them, five a word, and of the odd sketch.
+LEAST = 2 * SEGMENTS
 LEASTS, ODD = -(-LEAST // 5), 16
 
 
@@ -235,8 +235,13 @@ def _index(segment: int, choice: int, of: str = "") -> F.Column:
     return F.shiftright(f"{of}b{i // 5}", i % 5 * 12).bitwiseAND(F.lit(0xFFF))
 
 
+def leasts(kind: int) -> tuple[int, int]:
+    """The least hashes of a kind's keys; the second kind of a segment has others."""
+    return (2 * kind, 2 * kind + 1) if kind < SEGMENTS else (2 * ((kind + 5) % SEGMENTS), 2 * ((kind + 9) % SEGMENTS) + 1)
+
+
 def _least(kind: int, of: str = "") -> list[F.Column]:
-    return [F.shiftright(f"{of}m{i // 5}", i % 5 * 12).bitwiseAND(F.lit(0xFFF)) for i in (2 * kind, 2 * kind + 1)]
+    return [F.shiftright(f"{of}m{i // 5}", i % 5 * 12).bitwiseAND(F.lit(0xFFF)) for i in leasts(kind)]
 
 
 def _key(kind: int, index: F.Column, least: bool, of: str = "") -> F.Column:

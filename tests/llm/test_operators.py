@@ -576,14 +576,14 @@ def test_near_sets_share_a_whole_key_and_chance_pairs_do_not():
     def keys(sets):
         m, least = zip(*map(simhash._margins_and_least, sets), strict=True)
         codes = simhash.soft_indices(np.stack(m)[:, : simhash.SEGMENTS * 23])
-        return [{(no, c, v[2 * no], v[2 * no + 1]) for no, (i, _) in enumerate(simhash.KINDS) for c in row[i]} for row, v in zip(codes, least, strict=True)]
+        return [{(no, c, *(v[j] for j in simhash.leasts(no))) for no, (i, _) in enumerate(simhash.KINDS) for c in row[i]} for row, v in zip(codes, least, strict=True)]
 
     for common, each in ((8, 1), (56, 7), (264, 33)):
         pairs = [_near_sets(rng, common, each) for _ in range(1000)]
         x, y = (keys(side) for side in zip(*pairs, strict=True))
-        assert np.mean([bool(a & b) for a, b in zip(x, y, strict=True)]) >= 0.99
+        assert np.mean([bool(a & b) for a, b in zip(x, y, strict=True)]) >= 0.998
     held = [k for s in keys([rng.integers(0, 2**63, 60, dtype=np.uint64) for _ in range(3000)]) for k in s]
-    assert len(held) == 3000 * 32 and len(held) - len(set(held)) < 10
+    assert len(held) == 3000 * 64 and len(held) - len(set(held)) < 10
 
 
 def test_odd_sketches_never_differ_in_more_than_the_sets():
