@@ -39,7 +39,8 @@ BITS_APART = 0.195
 #: near_copies: while buckets hold over MANY pairs a member across components, up to ROUNDS times their members meet
 #: the first one, which draws families together, as long as that links one in ten; then all pairs meet, BLOCK members of a bucket a task. No limit of these
 #: changes what is compared in the end. SPLIT: a text in more pairs than this is verified in several tasks.
-MANY, ROUNDS, BLOCK, SPLIT = 8, 3, 4096, 1024
+#: WIDE: rows with sketches (some 10 MB) that are broadcast.
+MANY, ROUNDS, BLOCK, SPLIT, WIDE = 8, 3, 4096, 1024, 20_000
 
 
 def shingle_slices(text: bytes, k: int) -> list[bytes]:
@@ -278,6 +279,22 @@ def key_rounds() -> list[tuple[list[int], int]]:
     return [(list(range(step)), 1), *((list(range(i, i + step)), CODEWORDS) for i in range(0, len(KINDS), step))]
 
 
+def several_met(rows: DataFrame) -> DataFrame:
+    """key, total, most, lead of the buckets (rows of key, id, c) with members of several components c. total: the members;
+    most: the component of most of them, lead: one of its members there; both null where all may meet as they are.
+
+    Texts that are alike share many keys, so many buckets have the same members, which two 64-bit sums over their ids tell;
+    of these the one with the least key stands for all. Two texts whose least common key is that of a bucket share no
+    lesser one, so theirs is always left."""
+    # partial sums a task: a bucket that all texts share is one row a task and component
+    parts = rows.groupBy("key", "c").agg(F.count("*").alias("n"), F.bit_xor("id").alias("ids"), F.bit_xor(F.xxhash64("id")).alias("hashes"), F.min(F.struct(F.xxhash64("id", "key"), "id"))["id"].alias("lead"))
+    largest = F.max(F.struct("n", "c", "lead"))
+    buckets = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("total"), F.bit_xor("ids").alias("ids"), F.bit_xor("hashes").alias("hashes"), largest.alias("l")).where("parts > 1")
+    one = buckets.groupBy("parts", "total", "ids", "hashes").agg(F.min(F.struct("key", "l")).alias("b"))
+    crowded = F.col("total") > 2 * MANY
+    return one.select("b.key", "total", *[F.when(crowded, F.col(f"b.l.{c}")).alias(name) for c, name in (("c", "most"), ("lead", "lead"))])
+
+
 def _ordered(x: str, y: str) -> list[F.Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -384,67 +401,81 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGL
             drop(t)
         return out
 
-    def opened(keys: list[F.Column], groups: DataFrame | None) -> DataFrame | None:
-        """key, id, c, the sketch, total, big of the buckets that hold several components: c the component, total the members
-        of the bucket, big whether c is the one that most of a large bucket are in. None: there is no such bucket."""
+    def exploded(keys: list[F.Column], groups: DataFrame | None) -> DataFrame:
+        """key, id, c, the sketch of all texts: c the component."""
         info = sketches.drop("rep", "digest")
         info = info.withColumn("c", F.col("id")) if groups is None else info.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-        rows = info.select(F.explode(F.array(*keys)).alias("key"), "id", "c", *SKETCH)
-        # partial sums a task: a bucket that all texts share is one row a task
-        several = written(rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("total")).where("lo < hi").select("key", "total"))
+        return info.select(F.explode(F.array(*keys)).alias("key"), "id", "c", *SKETCH)
+
+    def opened(rows: DataFrame) -> DataFrame | None:
+        """rows with total and most of several_met(): of small buckets all members, of crowded ones the members outside the
+        largest component and one of that. None: there is no bucket with several components."""
+        several = written(several_met(rows))
         n = several.count()
-        if not n:
-            drop(several)
-            return None
-        rows = written(rows.join(bounded(several, n), "key"))
-        # in a small bucket all members may meet as they are
-        crowd = rows.where(F.col("total") > 2 * MANY)
-        most = crowd.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "c"))["c"].alias("most"))
-        crowd = crowd.join(most, "key").withColumn("big", F.col("c") == F.col("most")).drop("most")
-        out = written(rows.where(F.col("total") <= 2 * MANY).withColumn("big", F.lit(False)).unionByName(crowd))
-        drop(rows)
+        out = written(rows.join(bounded(several, n), "key").where("most IS NULL OR c <> most OR id = lead").drop("lead")) if n else None
         drop(several)
         return out
 
     def refreshed(rows: DataFrame, groups: DataFrame) -> DataFrame:
-        """rows with the components as they are now; those that were big are of one component still."""
-        now = rows.drop("c").join(groups.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left")
-        return written(now.withColumn("c", F.coalesce("c", "id")), replaces=rows)
+        """rows with the components as they are now; a component is named by one of its texts."""
+        now = groups.select(F.col("node").alias("_of"), F.col("component").alias("_c"))
+        after = rows
+        for c, of in (("c", "id"), ("most", "most")):
+            after = after.join(now, F.col(of) == F.col("_of"), "left").withColumn(c, F.coalesce("_c", of)).drop("_of", "_c")
+        return written(after, replaces=rows)
 
     def crowding(rows: DataFrame) -> tuple[int, float]:
-        """Members of the buckets, and their pairs across components."""
-        parts = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.col("n")).alias("square"))
-        return parts.agg(F.sum("t"), F.sum(F.col("t") * F.col("t") - F.col("square")) / 2).first()
+        """Members of the buckets, and their pairs across components, with those of the largest one that are not among rows."""
+        outside = F.col("most").isNull() | (F.col("c") != F.col("most"))
+        parts = rows.groupBy("key", "c").agg(F.sum(outside.cast("long")).alias("n"), F.max("total").alias("total"))
+        parts = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("square"), F.max("total").alias("t"))
+        pairs = (F.col("n") * F.col("n") - F.col("square")) / 2 + F.col("n") * (F.col("t") - F.col("n"))
+        return parts.agg(F.sum("t"), F.sum(pairs)).first()
 
     def first_met(rows: DataFrame, turn: int) -> DataFrame:
-        """Pairs (a, b), a < b: members of a bucket with its first member, where that is of another component."""
-        order = F.struct(F.lit(0).cast("long") if turn == 0 else F.xxhash64("id", "key", F.lit(turn)), F.col("id"))
+        """Pairs (a, b), a < b: members of a bucket with its first member, where that is of another component. At first that
+        is one of the largest component, another one in each bucket."""
+        order = F.struct(F.coalesce(F.col("c") != F.col("most"), F.lit(False)) if turn == 0 else F.xxhash64("id", "key", F.lit(turn)), F.col("id"))
         lead = rows.groupBy("key").agg(F.min_by(F.struct("id", "c", *SKETCH), order).alias("l")).select("key", "l.*")
         met = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & near("x", "y")
         return rows.alias("x").join(lead.alias("y"), met).select(*_ordered("x.id", "y.id")).distinct()
 
-    def all_met(rows: DataFrame, kinds: list[int], choices: int) -> DataFrame:
-        """Pairs (a, b), a < b: all members of a bucket with all of its other components. One end of each is not of the
-        largest component, so that one's members never meet each other; large buckets are cut into blocks. Two texts that
-        share several of the keys meet in the bucket of the least, so each pair is made once."""
+    def all_met(rows: DataFrame, texts: DataFrame, kinds: list[int], choices: int) -> DataFrame:
+        """Pairs (a, b), a < b: all members of a bucket with all of its other components; rows: as opened, texts: exploded.
+        Members outside the largest component meet each other, in large buckets block by block, and then the largest
+        one's, which are read where they are. Two texts that share several of the keys meet in the bucket of the least, so
+        each pair is made once."""
+        once = near("x", "y") & (least_shared(kinds, choices, "x.", "y.", least=True) == F.col("x.key"))
+        few = rows.where("most IS NULL OR c <> most")
         blocks = F.ceil(F.col("total") / BLOCK).cast("int")
-        x = rows.where("NOT big").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        y = rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        x = few.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        y = few.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         same = (F.col("x.key") == F.col("y.key")) & (F.col("x.block") == F.col("y.block"))
-        once = F.col("y.big") | (F.col("x.id") < F.col("y.id"))
-        met = same & (F.col("x.c") != F.col("y.c")) & once & near("x", "y") & (least_shared(kinds, choices, "x.", "y.", least=True) == F.col("x.key"))
-        return x.alias("x").join(y.alias("y"), met).select(*_ordered("x.id", "y.id"))
+        found = x.alias("x").join(y.alias("y"), same & (F.col("x.c") != F.col("y.c")) & (F.col("x.id") < F.col("y.id")) & once)
+        found = found.select(*_ordered("x.id", "y.id"))
+        left = few.where("most IS NOT NULL")
+        if not (n := left.count()):
+            return found
+        members = (F.col("x.key") == F.col("y.key")) & (F.col("x.most") == F.col("y.c"))
+        if n <= WIDE:
+            left = F.broadcast(left)
+        else:
+            buckets = bounded(left.select("key", "total", F.col("most").alias("c")).distinct(), n)
+            texts = texts.join(buckets, ["key", "c"]).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+            left, members = left.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))), members & (F.col("x.block") == F.col("y.block"))
+        return found.unionByName(texts.alias("y").join(left.alias("x"), members & once).select(*_ordered("x.id", "y.id")))
 
     groups, tried = None, None
     for no, (kinds, choices) in enumerate(key_rounds()):
         # the first keys only draw families together: the kinds they are of come again, with all choices
         seeds, whole, turn, helped = no == 0, False, 0, True
-        if (rows := opened(wide_keys(kinds, choices, least=True), groups)) is None:
+        keys = wide_keys(kinds, choices, least=True)
+        if (rows := opened(exploded(keys, groups))) is None:
             continue
         while not whole:
             n, square = crowding(rows)
             whole = seeds or square <= MANY * n or turn >= ROUNDS or not helped
-            found = first_met(rows, turn) if seeds or not whole else all_met(rows, kinds, choices)
+            found = first_met(rows, turn) if seeds or not whole else all_met(rows, exploded(keys, groups), kinds, choices)
             pairs = written(found if tried is None else found.join(tried, ["a", "b"], "left_anti"))
             helped = False
             if met := pairs.count():

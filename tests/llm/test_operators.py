@@ -533,6 +533,49 @@ def test_no_pair_of_a_crowded_bucket_is_left_out(spark):
     assert got == {i: i % 1000 for i, _ in docs}
 
 
+def test_members_of_a_family_are_not_opened_again_for_its_strangers(spark, monkeypatch):
+    # 200 near copies are one component after the first keys; three texts like them, under 0.8, keep their buckets open
+    rng = random.Random(12)
+    template = [f"w{i}" for i in range(150)]
+    docs = []
+    for g in range(203):
+        words = list(template)
+        for at in range(8, 150, 16) if g >= 200 else [rng.randrange(150)]:
+            words[at] = f"x{rng.random()}"
+        docs.append((g, " ".join(words)))
+    opened, real = [], simhash.written
+
+    def written(df, *args, **kwargs):
+        out = real(df, *args, **kwargs)
+        if {"key", "total", "w0"} <= set(df.columns):
+            opened.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "written", written)
+    got = {r["doc_id"]: r["keeper"] for r in simhash.near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {g: 0 for g in range(200)}
+    assert len(opened) > 1 and sum(opened) <= 8 * 203 + 600
+
+
+def test_several_met(spark):
+    rng = random.Random(3)
+    buckets = {k: set(rng.sample(range(40), rng.choice([1, 2, 2, 16, 17, 30]))) for k in range(200)}
+    buckets |= {1000 + k: buckets[k] for k in range(0, 200, 3)}
+    c = {i: i % 3 if i < 30 else 9 for i in range(40)}
+    rows = spark.createDataFrame([(k, i, c[i]) for k, ids in buckets.items() for i in ids], "key long, id long, c long")
+    got = {r["key"]: r for r in simhash.several_met(rows).collect()}
+    first = {}
+    for k in sorted(buckets):
+        if len({c[i] for i in buckets[k]}) > 1:
+            first.setdefault(frozenset(buckets[k]), k)
+    assert sorted(got) == sorted(first.values())
+    for ids, k in first.items():
+        n = Counter(c[i] for i in ids)
+        most = max(n, key=lambda x: (n[x], x)) if len(ids) > 2 * simhash.MANY else None
+        assert (got[k]["total"], got[k]["most"]) == (len(ids), most)
+        assert got[k]["lead"] is None if most is None else c[got[k]["lead"]] == most and got[k]["lead"] in ids
+
+
 def test_near_copies_do_not_depend_on_the_number_of_texts(spark, monkeypatch):
     # three segments a key were taken above four million texts, which loses pairs that fewer texts find
     monkeypatch.setattr(simhash, "key_width", lambda texts: 3, raising=False)
