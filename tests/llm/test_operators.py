@@ -533,7 +533,9 @@ def test_no_pair_of_a_crowded_bucket_is_left_out(spark):
     assert got == {i: i % 1000 for i, _ in docs}
 
 
-def test_members_of_a_family_are_not_opened_again_for_its_strangers(spark, monkeypatch):
+@pytest.mark.parametrize("wide", [20_000, 0])
+def test_members_of_a_family_are_not_opened_again_for_its_strangers(spark, monkeypatch, wide):
+    monkeypatch.setattr(simhash, "WIDE", wide, raising=False)
     # 200 near copies are one component after the first keys; three texts like them, under 0.8, keep their buckets open
     rng = random.Random(12)
     template = [f"w{i}" for i in range(150)]
